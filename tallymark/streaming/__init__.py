@@ -1,0 +1 @@
+"""Empty on purpose: every job of the inventory is a batch job, none has a watermark, trigger or state."""
