@@ -118,16 +118,37 @@ def totals_per_period(
 ) -> DataFrame:
     """Sum of ``value`` per period and key for many, possibly overlapping, periods in one read of ``df``.
 
-    A range condition has no key to hash on and would compare every row with every period. Rows are first summed per
-    key and day, which is far fewer rows, and then meet the periods by equality on the day. The days of the periods are
-    broadcast only when checked to be small. The outer bounds of all periods go to the scan as a filter.
+    A range condition has no key to hash on and would compare every row with every period, so rows meet the periods by
+    equality on the day. Days that lie in the same periods form one segment: each row is told its segment by a broadcast
+    of the days, rows are summed per key and segment before and after one shuffle, and only these few sums are copied to
+    the periods of their segment. Periods whose days do not fit a broadcast are joined to sums per key and day instead.
+    The outer bounds of all periods go to the scan as a filter.
     """
-    spread = periods.agg(F.min(start).cast("date").alias("s"), F.max(end).cast("date").alias("e")).first()
+    bounds = periods.agg(F.min(start).cast("date").alias("first"), F.max(end).cast("date").alias("last")).first()
     day = F.col(date).cast("date")
-    inside = df.filter(day.between(F.lit(spread.s), F.lit(spread.e)))
     # decimal sums stay decimal until the end, so that both steps are exact
     amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
-    daily = inside.groupBy(*keys, day.alias("day")).agg(F.sum(amount).alias("_part"))
-    days = broadcast_if_small(days_of_periods(periods, range_id, start, end))
+    rows = df.filter(day.between(F.lit(bounds.first), F.lit(bounds.last))).select(
+        *keys, day.alias("day"), amount.alias("_amount")
+    )
+    pairs = days_of_periods(periods, range_id, start, end)
+    if fits_broadcast(pairs):
+        segments = _segments(pairs, range_id)
+        days = F.broadcast(segments.select("segment", F.explode("days").alias("day")))
+        parts = rows.join(days, "day").groupBy(*keys, "segment").agg(F.sum("_amount").alias("_part"))
+        parts = parts.join(F.broadcast(segments.select("segment", F.inline("ranges"))), "segment")
+    else:
+        parts = rows.groupBy(*keys, "day").agg(F.sum("_amount").alias("_part")).join(pairs, "day")
     total = F.sum("_part") if scale is None else F.sum("_part").cast("double")
-    return daily.join(days, "day").groupBy(range_id, *keys).agg(total.alias(name))
+    return parts.groupBy(range_id, *keys).agg(total.alias(name))
+
+
+def _segments(pairs: DataFrame, range_id: str) -> DataFrame:
+    """``ranges, days, segment``: the days that lie in exactly these periods, named by the first of them.
+
+    ``pairs`` is known to be small, so it is grouped in a single partition without a shuffle.
+    """
+    # as structs, because a list leaves out plain NULLs
+    ranges = F.sort_array(F.collect_list(F.struct(range_id))).alias("ranges")
+    by_day = pairs.coalesce(1).groupBy("day").agg(ranges)
+    return by_day.groupBy("ranges").agg(F.collect_list("day").alias("days"), F.min("day").alias("segment"))

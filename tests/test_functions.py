@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import datetime
+import math
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tallymark import functions as fn
+
+
+@pytest.mark.parametrize(
+    ("text", "valid"),
+    [
+        ("2023-01-01", True),
+        ("2023-12-31", True),
+        ("2024-02-29", True),
+        ("2023-02-29", False),
+        ("01-01-2023", False),
+        ("2023/01/01", False),
+        ("2023-1-1", False),
+        ("2023-01-01x", False),
+        ("invalid-date", False),
+        ("", False),
+        (None, False),
+    ],
+)
+def test_iso_date(spark, text, valid):
+    df = spark.createDataFrame([(text,)], "d string")
+    assert df.select(fn.is_iso_date(F.col("d"))).first()[0] is valid
+
+
+def test_to_day_drops_the_time(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-10 23:59:59' AS t")
+    assert df.select(fn.to_day(F.col("t"))).first()[0] == datetime.date(2024, 1, 10)
+
+
+@pytest.mark.parametrize(
+    ("wall", "zone", "utc"),
+    [
+        ("2024-01-15 12:00:00", "America/New_York", "2024-01-15 17:00:00"),
+        ("2024-07-15 12:00:00", "America/New_York", "2024-07-15 16:00:00"),
+        ("2024-01-15 02:00:00", "Asia/Kolkata", "2024-01-14 20:30:00"),
+    ],
+)
+@pytest.mark.parametrize("session_zone", ["UTC", "Asia/Tokyo"])
+def test_shift_zone_ignores_the_session_zone(spark, conf, wall, zone, utc, session_zone):
+    conf(spark__sql__session__timeZone=session_zone)
+    df = spark.sql(f"SELECT TIMESTAMP_NTZ '{wall}' AS t")
+    assert str(df.select(fn.shift_zone(F.col("t"), zone)).first()[0]) == utc
+
+
+def test_safe_number(spark):
+    df = spark.createDataFrame([("1.5",), ("n/a",), (None,), ("",)], "v string")
+    assert [r[0] for r in df.select(fn.safe_number(F.col("v"))).collect()] == [1.5, None, None, None]
+
+
+def test_exact_sum_does_not_depend_on_order(spark):
+    values = [(1e12,), (0.01,), (-1e12,), (0.02,)] * 50
+    up, down = (spark.createDataFrame(v, "x double").repartition(7) for v in (values, values[::-1]))
+    totals = {float(df.select(fn.exact_sum(F.col("x"))).first()[0]) for df in (up, down)}
+    assert totals == {1.5}
+
+
+def test_exact_sum_of_small_values(spark):
+    df = spark.createDataFrame([(100.123456789,), (200.987654321,), (0.000000001,)], "x double")
+    total = df.select(fn.exact_sum(F.col("x"), scale=9)).first()[0]
+    assert math.isclose(float(total), 301.111111111, abs_tol=1e-12)
+
+
+def test_reverse(spark):
+    df = spark.createDataFrame([("2024-01-15",), (None,), ("añb",)], "d string")
+    assert [r[0] for r in df.select(fn.reversed_text(F.col("d"))).collect()] == ["51-10-4202", None, "bña"]
+
+
+def test_reverse_string_in_sql(spark):
+    fn.register_reverse_string(spark)
+    assert spark.sql("SELECT reverse_string('abc')").first()[0] == "cba"
+
+
+def test_multibyte(spark):
+    df = spark.createDataFrame([("abc",), ("é",), ("日本",), ("",)], "t string")
+    assert [r[0] for r in df.select(fn.is_multibyte(F.col("t"))).collect()] == [False, True, True, False]
+
+
+def test_count_words(spark):
+    df = spark.createDataFrame([("SELECT a select\nselected, preselect select_1 (Select)",)], "t string")
+    assert df.select(fn.count_words(F.col("t"), "select")).first()[0] == 3
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "tolerance", "expected"),
+    [
+        (1.0, 1.0, 0.0, True),
+        (1.0, 1.005, 0.0, False),
+        (1.0, 1.005, 0.01, True),
+        (1.0, 1.02, 0.01, False),
+        (None, None, 0.01, True),
+        (None, 0.0, 0.01, False),
+        (0.0, None, 0.01, False),
+    ],
+)
+def test_values_match(spark, a, b, tolerance, expected):
+    df = spark.createDataFrame([(a, b)], "a double, b double")
+    assert df.select(fn.values_match(F.col("a"), F.col("b"), tolerance)).first()[0] is expected
+
+
+def test_fingerprint_sees_where_the_null_is(spark):
+    df = spark.createDataFrame([(None, 1), (1, None), (1, 1), (None, None)], "a int, b int")
+    assert len(set(rows(df.select(fn.row_fingerprint(["a", "b"]))))) == 4
