@@ -74,9 +74,9 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.agg(*(measures(c) for c in columns)).unpivot([], columns, "column_name", "m").select("column_name", "m.*")
 
 
-def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicates(df: DataFrame, keys: Sequence[str], *, name: str = "n") -> DataFrame:
     """Keys that occur more than once, with their number. Copies are counted before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    return df.groupBy(*keys).agg(F.count("*").alias(name)).filter(F.col(name) > 1)
 
 
 def align(df: DataFrame, schema: StructType, *, keep_extra: bool = False) -> DataFrame:

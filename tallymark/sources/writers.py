@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,10 +90,28 @@ def append_or_create(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
+@contextmanager
+def _session_option(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def replace_partitions(df: DataFrame, table: str, *, allow_narrowing: bool = False) -> None:
-    """Replace just those partitions of ``table`` that occur in ``df``, so that a job can be run again safely."""
+    """Replace just those partitions of ``table`` that occur in ``df``, so that a job can be run again safely.
+
+    ``insertInto`` takes no write options, so the mode is set on the session for the time of the write; do not run other
+    overwrites in the same session meanwhile.
+    """
     rows = _for_target(df, table, allow_narrowing)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _session_option(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.write.mode("overwrite").insertInto(table)
 
 
 def create_empty_table(
