@@ -46,8 +46,22 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 # --- the tables in the shapes the library works on -----------------------------------------------------------------
 
 
+# The declared schemas of the tables in use.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def lines(spark: SparkSession, sf_dir: str, amount: Column | None = None, product: Column | None = None) -> DataFrame:
@@ -706,18 +720,17 @@ _WORDS = "' ' || regexp_replace(text, '[^A-Za-z0-9_]+', '  ', 'g') || ' '"
 
 
 def _script_sql() -> str:
-    counts = []
-    for name, words in quality.SCRIPT_MEASURES.items():
-        if r"\s" in words:
-            spaced = r"regexp_replace(text, '(\s)', '\1\1', 'g')"
-            found = f"regexp_extract_all({spaced}, '(?i)(?:^|[^A-Za-z0-9_]){words}(?:$|[^A-Za-z0-9_])')"
-        else:
-            found = f"regexp_extract_all({_WORDS}, '(?i) (?:{words}) ')"
-        counts.append(f"CAST(LENGTH({found}) AS BIGINT) AS {name}")
+    counts = [
+        f"CAST(LENGTH(regexp_extract_all({_WORDS}, '(?i) (?:{'|'.join(words)}) ')) AS BIGINT) AS {name}"
+        for name, words in quality.SCRIPT_WORDS.items()
+    ]
+    spaced = r"regexp_replace(text, '(\s)', '\1\1', 'g')"
+    phrase = f"(?i)(?:^|[^A-Za-z0-9_]){quality.TEMPORARY_TABLE}(?:$|[^A-Za-z0-9_])"
     tables = r"regexp_extract_all(lower(text), '(?:^|[^a-z0-9_])(?:from|join|into|table)\s+([a-z_][a-z0-9_.]*)', 1)"
     return (
         "SELECT doc_id, CAST(LENGTH(string_split(text, chr(10))) AS BIGINT) AS n_lines, "
-        f"{', '.join(counts)}, CAST(LENGTH(list_distinct({tables})) AS BIGINT) AS n_tables FROM documents"
+        f"{', '.join(counts)}, CAST(LENGTH(regexp_extract_all({spaced}, '{phrase}')) AS BIGINT) AS n_temporary, "
+        f"CAST(LENGTH(list_distinct({tables})) AS BIGINT) AS n_tables FROM documents"
     )
 
 

@@ -4,15 +4,14 @@ from tallymark.functions.compare import changed_columns, row_fingerprint, values
 from tallymark.functions.dates import is_iso_date, shift_zone, to_day
 from tallymark.functions.numbers import exact_sum, safe_number
 from tallymark.functions.text import (
-    count_words,
     is_multibyte,
     register_reverse_string,
     reversed_text,
+    words_in,
 )
 
 __all__ = [
     "changed_columns",
-    "count_words",
     "exact_sum",
     "is_iso_date",
     "is_multibyte",
@@ -23,4 +22,5 @@ __all__ = [
     "shift_zone",
     "to_day",
     "values_match",
+    "words_in",
 ]

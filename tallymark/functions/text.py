@@ -20,6 +20,7 @@ def is_multibyte(text: Column) -> Column:
     return F.octet_length(text) != F.char_length(text)
 
 
-def count_words(text: Column, words: str) -> Column:
-    """How often one of ``words`` (a regular expression) stands in the text as a whole word, in any case."""
-    return F.regexp_count(text, F.lit(rf"(?i)(?<![A-Za-z0-9_])(?:{words})(?![A-Za-z0-9_])"))
+def words_in(text: Column, words: str) -> Column:
+    """All occurrences of ``words`` (a regular expression) as whole words in any case, in order and in lower case."""
+    pattern = rf"(?i)(?<![A-Za-z0-9_])({words})(?![A-Za-z0-9_])"
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lower)

@@ -14,37 +14,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
+from tallymark.operators.audit import counted
+from tallymark.sources.scope import checkpointed
+
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_FIXED_WIDTH = 16
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: the length of its texts and nested values, and a fixed width per column."""
+
+    def varying(field: StructField) -> Column | None:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.octet_length(column)
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            return F.octet_length(F.to_json(F.struct(column)))
+        return None
 
-def _is_text(field: StructField) -> bool:
-    return isinstance(field.dataType, (StringType, BinaryType))
+    lengths = (F.coalesce(c, F.lit(0)).cast("long") for c in map(varying, df.schema) if c is not None)
+    return reduce(lambda a, b: a + b, lengths, F.lit(16 * len(df.columns)).cast("long"))
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Whether ``df`` is proven small: its rows are counted, and if few enough its texts are measured.
+    """Whether ``df`` is proven small: its rows are counted, and if few enough they are measured.
 
     The count needs no column, so of a Parquet table it reads the footers only; each task sends one number.
     """
-    n_rows = df.count()
-    if n_rows > max_rows:
-        return False
-    texts = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema if _is_text(f)]
-    nested = [
-        F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))))
-        for f in df.schema
-        if isinstance(f.dataType, (ArrayType, MapType, StructType))
-    ]
-    size = n_rows * _FIXED_WIDTH * len(df.columns)
-    if texts or nested:
-        length = reduce(lambda a, b: a + b, (F.coalesce(c, F.lit(0)).cast("long") for c in (*texts, *nested)))
-        size += df.agg(F.sum(length)).first()[0] or 0
-    return size <= max_bytes
+    return df.count() <= max_rows and (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
+
+
+def checkpointed_lookup(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """A computed lookup table: computed once, kept in the shared folder, measured on the way, broadcast only if small."""
+    watched, seen = counted(df, n_bytes=F.sum(_row_bytes(df)))
+    kept = checkpointed(watched)
+    small = seen.get["n_rows"] <= max_rows and (seen.get["n_bytes"] or 0) <= max_bytes
+    return F.broadcast(kept) if small else kept
 
 
 def broadcast_if_small(
@@ -124,15 +133,21 @@ def totals_per_period(
     the periods of their segment. Periods whose days do not fit a broadcast are joined to sums per key and day instead.
     The outer bounds of all periods go to the scan as a filter.
     """
-    bounds = periods.agg(F.min(start).cast("date").alias("first"), F.max(end).cast("date").alias("last")).first()
+    n_days = F.greatest(F.date_diff(end, start) + 1, F.lit(0)).cast("long")
+    about = periods.agg(
+        F.min(start).cast("date").alias("first"),
+        F.max(end).cast("date").alias("last"),
+        F.coalesce(F.sum(n_days), F.lit(0)).alias("n_pairs"),
+        F.coalesce(F.sum(n_days * _row_bytes(periods.select(range_id, start))), F.lit(0)).alias("n_bytes"),
+    ).first()
     day = F.col(date).cast("date")
     # decimal sums stay decimal until the end, so that both steps are exact
     amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
-    rows = df.filter(day.between(F.lit(bounds.first), F.lit(bounds.last))).select(
+    rows = df.filter(day.between(F.lit(about["first"]), F.lit(about["last"]))).select(
         *keys, day.alias("day"), amount.alias("_amount")
     )
     pairs = days_of_periods(periods, range_id, start, end)
-    if fits_broadcast(pairs):
+    if about.n_pairs <= MAX_BROADCAST_ROWS and about.n_bytes <= MAX_BROADCAST_BYTES:
         segments = _segments(pairs, range_id)
         days = F.broadcast(segments.select("segment", F.explode("days").alias("day")))
         parts = rows.join(days, "day").groupBy(*keys, "segment").agg(F.sum("_amount").alias("_part"))

@@ -11,9 +11,8 @@ from pyspark.sql.types import StructType
 
 from tallymark.functions.dates import is_iso_date
 from tallymark.functions.numbers import safe_number
-from tallymark.functions.text import count_words, is_multibyte
-from tallymark.operators.joins import broadcast_if_small, same_keys
-from tallymark.sources.scope import checkpointed
+from tallymark.functions.text import is_multibyte, words_in
+from tallymark.operators.joins import checkpointed_lookup, same_keys
 
 
 class MissingColumns(ValueError):
@@ -126,10 +125,8 @@ def outliers(df: DataFrame, keys: Sequence[str], value: str, z: float = 3.0) ->
     one task. They are broadcast if checked to be small, so that the rows themselves are not shuffled; beyond the bound
     the join is shuffled and adaptive execution splits the hot groups.
     """
-    moments = checkpointed(
-        df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_deviation"))
-    )
-    rows, groups = df.alias("d"), broadcast_if_small(moments).alias("g")
+    moments = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_deviation"))
+    rows, groups = df.alias("d"), checkpointed_lookup(moments).alias("g")
     far = F.abs(F.col(f"d.{value}") - F.col("g._mean")) > F.lit(z) * F.col("g._deviation")
     return rows.join(groups, same_keys("d", "g", keys)).filter(far).select("d.*")
 
@@ -144,27 +141,40 @@ def text_encoding(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFra
     )
 
 
-# What is counted in a script, as patterns of whole words.
-SCRIPT_MEASURES = {
-    "n_select": "select",
-    "n_insert": "insert",
-    "n_create": "create",
-    "n_drop": "drop",
-    "n_join": "join",
-    "n_temporary": r"create\s+temporary\s+table",
-    "n_aggregate": "sum|count|avg|min|max",
-    "n_condition": "where|having|case|if|while",
+# The words that are counted in a script, by measure.
+SCRIPT_WORDS = {
+    "n_select": ("select",),
+    "n_insert": ("insert",),
+    "n_create": ("create",),
+    "n_drop": ("drop",),
+    "n_join": ("join",),
+    "n_aggregate": ("sum", "count", "avg", "min", "max"),
+    "n_condition": ("where", "having", "case", "if", "while"),
 }
+TEMPORARY_TABLE = r"create\s+temporary\s+table"
 TABLE_AFTER = r"(?i)(?<![A-Za-z0-9_])(?:from|join|into|table)\s+([A-Za-z_][A-Za-z0-9_.]*)"
 
 
 def script_metrics(df: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of ``df`` other than ``text`` plus counts of what each script holds: lines, statements, tables."""
+    """The columns of ``df`` other than ``text`` plus counts of what each script holds: lines, statements, tables.
+
+    One search finds all words that any measure counts, a second one the names of the tables.
+    """
     script = F.col(text)
-    tables = F.transform(F.regexp_extract_all(script, F.lit(TABLE_AFTER), F.lit(1)), F.lower)
-    return df.select(
+    words = "|".join(word for group in SCRIPT_WORDS.values() for word in group)
+    found = df.select(
         *(c for c in df.columns if c != text),
-        F.size(F.split(script, "\n")).cast("long").alias("n_lines"),
-        *(count_words(script, words).cast("long").alias(name) for name, words in SCRIPT_MEASURES.items()),
-        F.size(F.array_distinct(tables)).cast("long").alias("n_tables"),
+        (F.length(script) - F.length(F.replace(script, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        words_in(script, f"{TEMPORARY_TABLE}|{words}").alias("_words"),
+        F.transform(F.regexp_extract_all(script, F.lit(TABLE_AFTER), F.lit(1)), F.lower).alias("_tables"),
     )
+
+    def count(words: Column, group: Sequence[str]) -> Column:
+        return F.size(F.filter(words, lambda word: word.isin(*group))).cast("long")
+
+    # the phrase is found as a whole and counts by its first word as well
+    first = F.transform("_words", lambda found: F.regexp_extract(found, "^[a-z]+", 0))
+    counts = {name: count(first, group) for name, group in SCRIPT_WORDS.items()}
+    counts["n_temporary"] = F.size(F.filter("_words", lambda found: found.contains("temporary"))).cast("long")
+    counts["n_tables"] = F.size(F.array_distinct("_tables")).cast("long")
+    return found.withColumns(counts).drop("_words", "_tables")

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.compare import changed_columns, row_fingerprint, values_match
 from tallymark.operators.filters import Day, period_condition
-from tallymark.operators.joins import broadcast_if_small, same_keys
-from tallymark.sources.scope import checkpointed
+from tallymark.operators.joins import checkpointed_lookup, same_keys
 
 
 def _both(left: DataFrame, right: DataFrame, columns: Sequence[Column]) -> DataFrame:
@@ -163,8 +162,8 @@ def keyed_diff_wide(
         .withColumn("_differs", (F.col("_low0") != F.col("_high0")) | (F.col("_low1") != F.col("_high1")))
     )
     suspects = grouped.select(*keys, _key_status(F.col("_differs")).alias("status")).filter("status <> 'same'")
-    # read three times below, so computed once and kept
-    suspects = broadcast_if_small(checkpointed(suspects.select(*keys))).alias("s")
+    # read for both sides, so computed once and kept
+    suspects = checkpointed_lookup(suspects.select(*keys)).alias("s")
 
     def rows_of(df: DataFrame) -> DataFrame:
         return df.select(*keys, *columns).alias("d").join(suspects, same_keys("d", "s", keys), "left_semi")

@@ -7,6 +7,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -23,6 +24,7 @@ from tallymark.sources.writers import append_by_name
 
 log = logging.getLogger(__name__)
 
+PERIODS = pa.schema([("range_id", pa.int32()), ("s", pa.date32()), ("e", pa.date32())])
 SOURCE, SUMMARY, DETAIL = "sales_table", "summary_table", "detailed_sales_summary"
 
 
@@ -160,9 +162,12 @@ def process_sales_data_sql(
 
 
 def periods_frame(spark: SparkSession, periods: Iterable[tuple[int, Day, Day]]) -> DataFrame:
-    rows = [(i, str(start), str(end)) for i, start, end in periods]
-    frame = spark.createDataFrame(rows, "range_id int, s string, e string")
-    return frame.select("range_id", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"))
+    """``range_id, s, e`` from the periods a caller asks for."""
+    day = datetime.date.fromisoformat
+    rows = [(i, day(str(start)), day(str(end))) for i, start, end in periods]
+    columns = [list(column) for column in zip(*rows, strict=True)] or [[], [], []]
+    # through Arrow, so that the few rows are part of the plan and not a job of their own
+    return spark.createDataFrame(pa.table(columns, schema=PERIODS))
 
 
 def sales_totals_per_period(

@@ -20,6 +20,8 @@ def session_settings(shuffle_bytes: int | None = None, cores: int | None = None)
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         # checkpoints of finished jobs leave the shared folder with the DataFrames that own them
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # no stack trace for every column expression the driver builds
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -95,7 +95,7 @@ PERIODS = {
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_totals_per_period(spark, monkeypatch, name, broadcast):
     if not broadcast:
-        monkeypatch.setattr(joins, "fits_broadcast", lambda df, **_: False)
+        monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", -1)
     dice = random.Random(7)
     sales = [
         (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import quality
 from tallymark.operators.audit import AuditTrail, counted
+from tallymark.sources import checkpointed
 
 
 def test_required_columns(spark):
@@ -69,7 +70,7 @@ def test_date_conformity(spark):
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_outliers(spark, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(quality, "broadcast_if_small", lambda df: df)
+        monkeypatch.setattr(quality, "checkpointed_lookup", checkpointed)
     dice = random.Random(3)
     data = [(dice.choice(["a", "b", None]), round(dice.gauss(0, 1), 6)) for _ in range(400)]
     data += [("a", 50.0), (None, -50.0), ("single", 1.0), ("b", None)]
