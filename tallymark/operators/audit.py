@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 
 from tallymark.sources.writers import append_or_create
 
-AUDIT_SCHEMA = "run_id string, step string, metric string, value decimal(38,6)"
-
-
 def counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     """``df`` that counts its rows (and ``metrics``) while something else runs it.
 
     ``observation.get`` waits for that job and returns the figures. A retried task is counted once.
     """
     observation = Observation(f"counted-{uuid.uuid4().hex}")
-    return df.observe(observation, F.count(F.lit(1)).alias("n_rows"), *(m.alias(n) for n, m in metrics.items())), observation
+    figures = {"n_rows": F.count(F.lit(1)), **metrics}
+    return df.observe(observation, *(figure.alias(name) for name, figure in figures.items())), observation
 
 
 class AuditTrail:

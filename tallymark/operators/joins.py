@@ -100,8 +100,12 @@ def full_outer_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str])
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Rows of ``child`` whose key is missing in ``parent``. A NULL key refers to nothing and is no orphan."""
-    parents = parent.select(F.col(parent_key).alias("_parent_key"))
+    """Rows of ``child`` whose key is missing in ``parent``. A NULL key refers to nothing and is no orphan.
+
+    Parent keys are made distinct first: adaptive execution can split a hot key of the child, but not one of the parent.
+    The join uses the same partitioning, so this costs no further shuffle.
+    """
+    parents = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
     linked = child.filter(F.col(child_key).isNotNull())
     return linked.join(parents, F.col(child_key) == F.col("_parent_key"), "left_anti")
 

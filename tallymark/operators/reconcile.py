@@ -185,9 +185,28 @@ def bag_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None =
     )
 
 
+# A row with more copies than this is written out by several tasks.
+COPIES_PER_TASK = 100_000
+
+
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` that remain after taking away the rows of ``right``, copies counted."""
-    return left.exceptAll(right)
+    """Rows of ``left`` that remain after taking away the rows of ``right``, copies counted (``EXCEPT ALL``).
+
+    The copies of a row come from its surplus. Where one row has very many, its copies are dealt to several tasks.
+    """
+    columns = left.columns
+    surplus = bag_diff(left, right).filter(F.col("surplus") > 0)
+    ordinary = surplus.filter(F.col("surplus") <= COPIES_PER_TASK).withColumn("_copies", F.col("surplus"))
+    first = F.explode(F.sequence(F.lit(0), F.col("surplus") - 1, F.lit(COPIES_PER_TASK).cast("long")))
+    hot = (
+        surplus.filter(F.col("surplus") > COPIES_PER_TASK)
+        .withColumn("_first", first)
+        .withColumn("_copies", F.least(F.col("surplus") - F.col("_first"), F.lit(COPIES_PER_TASK)))
+        .repartition(*columns, "_first")
+        .drop("_first")
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return ordinary.unionByName(hot).select(*columns, copies.alias("_copy")).drop("_copy")
 
 
 def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:

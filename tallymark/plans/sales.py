@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import logging
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from tallymark.operators.quality import require_columns
 from tallymark.plans.session import build_session
 from tallymark.sources.readers import read_table
 from tallymark.sources.scope import held, temp_view
-from tallymark.sources.writers import append_by_name
+from tallymark.sources.writers import append_by_name, replace_partition
 
 log = logging.getLogger(__name__)
 
@@ -49,13 +49,24 @@ def detail_rows(totals: DataFrame) -> DataFrame:
     return with_value(totals, "total_sales")
 
 
-def load_targets(totals: DataFrame, summary: str, detail: str, *, allow_narrowing: bool = False) -> None:
-    """Append all totals to the summary and the non-NULL ones to the detail.
+def load_targets(
+    totals: DataFrame,
+    summary: str,
+    detail: str,
+    *,
+    partition: Mapping[str, str] | None = None,
+    allow_narrowing: bool = False,
+) -> None:
+    """Write all totals to the summary and the non-NULL ones to the detail.
 
-    Two appends are not one transaction: if the second fails, the summary already holds its rows.
+    Two writes are not one transaction: if the second fails, the summary already holds its rows. With ``partition`` they
+    replace that partition of both tables instead of being appended, so the load can simply be run again.
     """
-    append_by_name(totals, summary, allow_narrowing=allow_narrowing)
-    append_by_name(detail_rows(totals), detail, allow_narrowing=allow_narrowing)
+    for table, rows in ((summary, totals), (detail, detail_rows(totals))):
+        if partition:
+            replace_partition(rows, table, allow_narrowing=allow_narrowing, **partition)
+        else:
+            append_by_name(rows, table, allow_narrowing=allow_narrowing)
 
 
 def process_sales_data(
@@ -68,6 +79,7 @@ def process_sales_data(
     detail: str = DETAIL,
     scale: int | None = None,
     as_text: bool | None = None,
+    period_column: str | None = None,
     hold: str = "checkpoint",
     allow_narrowing: bool = False,
     audit: AuditTrail | None = None,
@@ -76,6 +88,9 @@ def process_sales_data(
 
     The source is read once: the totals are held (see :func:`tallymark.sources.scope.held`) and appended twice. They are
     counted while they are computed. An empty source, an empty period or an inverted one loads nothing and succeeds.
+
+    By default a second run appends the rows a second time. Where the targets are partitioned by ``period_column``, which
+    then holds ``start/end``, a second run replaces the rows of the first.
     """
     session = spark or build_session()
     totals = sales_totals(read_table(session, source), start_date, end_date, scale=scale, as_text=as_text)
@@ -83,7 +98,8 @@ def process_sales_data(
         totals = audit.step(totals, "summary", n_without_total=F.count_if(F.col("total_sales").isNull()))
     totals, seen = counted(totals, n_detail=F.count("total_sales"))
     with held(totals, hold) as rows:
-        load_targets(rows, summary, detail, allow_narrowing=allow_narrowing)
+        partition = {period_column: f"{start_date}/{end_date}"} if period_column else None
+        load_targets(rows, summary, detail, partition=partition, allow_narrowing=allow_narrowing)
     figures = seen.get
     log.info("%s to %s: %d products, %d with a total", start_date, end_date, figures["n_rows"], figures["n_detail"])
     return True

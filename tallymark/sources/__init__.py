@@ -17,6 +17,7 @@ from tallymark.sources.writers import (
     append_by_name,
     append_or_create,
     create_empty_table,
+    replace_partition,
     replace_partitions,
     write_bucketed,
     write_partitioned,
@@ -40,6 +41,7 @@ __all__ = [
     "held",
     "read_delimited",
     "read_table",
+    "replace_partition",
     "replace_partitions",
     "scratch_database",
     "scratch_root",

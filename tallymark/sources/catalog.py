@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 
@@ -39,7 +41,12 @@ def drop_temp_views(spark: SparkSession, *names: str) -> None:
         spark.catalog.dropTempView(name)
 
 
+def partition_spec(values: Mapping[str, str]) -> str:
+    """``PARTITION (column = 'value', …)`` with quotes and backslashes in the values escaped."""
+    escaped = {column: str(value).replace("\\", "\\\\").replace("'", "\\'") for column, value in values.items()}
+    return f"PARTITION ({', '.join(f"`{column}` = '{value}'" for column, value in escaped.items())})"
+
+
 def add_partition(spark: SparkSession, table: str, **values: str) -> None:
     """Register a partition that may hold no rows yet."""
-    spec = ", ".join(f"{column} = '{value}'" for column, value in values.items())
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition_spec(values)}")

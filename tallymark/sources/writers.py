@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Collection, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from tallymark.sources.catalog import partition_spec
+from tallymark.sources.scope import temp_view
+
 _INTEGERS = [ByteType(), ShortType(), IntegerType(), LongType()]
 _INTEGER_DIGITS = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 19}
 _LOSSLESS = {
@@ -57,8 +61,8 @@ def _fits(source: DataType, target: DataType) -> bool:
     return source.simpleString() == target.simpleString()
 
 
-def _for_target(df: DataFrame, table: str, allow_narrowing: bool) -> DataFrame:
-    target = df.sparkSession.table(table).schema
+def _for_target(df: DataFrame, table: str, allow_narrowing: bool, given: Collection[str] = ()) -> DataFrame:
+    target = [field for field in df.sparkSession.table(table).schema if field.name not in given]
     have = {field.name.lower(): field for field in df.schema}
     wanted = {field.name.lower() for field in target}
     missing = [field.name for field in target if field.name.lower() not in have]
@@ -114,6 +118,17 @@ def replace_partitions(df: DataFrame, table: str, *, allow_narrowing: bool = Fal
         rows.write.mode("overwrite").insertInto(table)
 
 
+def replace_partition(df: DataFrame, table: str, *, allow_narrowing: bool = False, **values: str) -> None:
+    """Replace one partition of ``table``, given by the values of its partition columns, by the rows of ``df``.
+
+    ``df`` does not have these columns. An empty ``df`` leaves an empty partition.
+    """
+    rows = _for_target(df, table, allow_narrowing, given=values)
+    with temp_view(rows, f"new_rows_{uuid.uuid4().hex}") as view:
+        columns = ", ".join(f"`{name}`" for name in rows.columns)
+        df.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} {partition_spec(values)} SELECT {columns} FROM {view}")
+
+
 def create_empty_table(
     spark: SparkSession, table: str, schema: StructType | str, partition_by: Sequence[str] = ()
 ) -> None:

@@ -62,6 +62,15 @@ def test_orphans(spark):
     assert rows(joins.orphans(child, parent, "parent", "key")) == [(2, 9), (4, 9)]
 
 
+def test_orphans_need_no_shuffle_for_distinct_parents(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    child = spark.range(1000).select((F.col("id") % 50).alias("k"))
+    parent = spark.range(1000).select((F.col("id") % 40).alias("p"))
+    found = joins.orphans(child, parent, "k", "p")
+    assert physical_plan(found).count("Exchange") == 2
+    assert {r.k for r in found.collect()} == set(range(40, 50))
+
+
 def test_days_of_periods(spark):
     periods = periods_frame(spark, [(1, "2024-01-30", "2024-02-01"), (2, "2024-03-02", "2024-03-01")])
     assert [str(r.day) for r in joins.days_of_periods(periods).orderBy("day").collect()] == [

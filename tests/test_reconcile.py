@@ -157,6 +157,26 @@ def test_bags(spark):
     assert rows(rec.bag_difference(right, left)) == [(3, 1.0)]
 
 
+@pytest.mark.parametrize("per_task", [1, 3, 100_000])
+def test_bag_difference_is_except_all(spark, monkeypatch, per_task):
+    monkeypatch.setattr(rec, "COPIES_PER_TASK", per_task)
+    dice = random.Random(per_task)
+    sides = [[(dice.choice([1, 2, None]), dice.choice([0.5, None])) for _ in range(n)] for n in (60, 20)]
+    left, right = (frame(spark, *side).repartition(3) for side in sides)
+    expected = sorted((Counter(sides[0]) - Counter(sides[1])).elements(), key=repr)
+    assert rows(rec.bag_difference(left, right)) == expected == rows(left.exceptAll(right))
+
+
+def test_copies_of_a_hot_row_are_dealt_to_several_tasks(spark, monkeypatch, conf):
+    monkeypatch.setattr(rec, "COPIES_PER_TASK", 1000)
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="8")
+    left = spark.range(20000).select((F.col("id") * 0).alias("k"))
+    remaining = rec.bag_difference(left, left.limit(500))
+    per_task = remaining.groupBy(F.spark_partition_id()).count()
+    assert remaining.count() == 19500
+    assert per_task.count() > 3 and per_task.agg(F.max("count")).first()[0] < 10000
+
+
 def test_schema_diff(spark):
     left = spark.createDataFrame([], "a int, b string, c double")
     right = spark.createDataFrame([], "b string, c decimal(10,2), d date")

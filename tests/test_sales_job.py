@@ -123,6 +123,20 @@ def test_running_again_appends_again(spark, tables):
     assert loaded(spark)[0] == sorted(expected * 2)
 
 
+def test_running_a_period_again_replaces_it(spark, tables):
+    tables(CASES["boundaries"][0])
+    for target in (sales.SUMMARY, sales.DETAIL):
+        sources.create_empty_table(spark, target, f"{TARGET}, period string", partition_by=["period"])
+    for period in (JANUARY, ("2023-12-31", "2024-01-01"), JANUARY):
+        assert sales.process_sales_data(*period, spark, period_column="period")
+    january, turn = "2024-01-01/2024-01-31", "2023-12-31/2024-01-01"
+    expected = [("P001", 100.0, january), ("P001", 100.0, turn), ("P002", 200.0, january), ("P003", 300.0, turn)]
+    assert loaded(spark) == (sorted(expected, key=repr),) * 2
+    tables([])
+    sales.process_sales_data(*turn.split("/"), spark, period_column="period")
+    assert {r.period for r in spark.table(sales.SUMMARY).collect()} == {january}
+
+
 def test_two_runs_give_the_same_rows(spark, tables):
     tables([(f"P{i % 7}", "2024-01-15", i / 3) for i in range(200)])
     totals = [sales.sales_totals(spark.table(sales.SOURCE).repartition(n), *JANUARY, scale=2) for n in (3, 5)]

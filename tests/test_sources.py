@@ -125,6 +125,18 @@ def test_partitions(spark, database):
         assert rows(spark.table("sales")) == [(2, "na"), (9, "eu")]
 
 
+def test_replace_one_partition(spark, database):
+    sources.create_empty_table(spark, "sales", "id int, region string", partition_by=["region"])
+    sources.append_by_name(region_rows(spark), "sales")
+    sources.replace_partition(spark.createDataFrame([(7,)], "id int"), "sales", region="eu")
+    assert rows(spark.table("sales")) == [(2, "na"), (7, "eu")]
+    sources.replace_partition(spark.createDataFrame([], "id int"), "sales", region="eu")
+    sources.replace_partition(spark.createDataFrame([(8,)], "id int"), "sales", region="it's \\ new")
+    assert rows(spark.table("sales")) == [(2, "na"), (8, "it's \\ new")]
+    with pytest.raises(sources.UnsafeInsert):
+        sources.replace_partition(region_rows(spark), "sales", region="eu")
+
+
 @pytest.mark.parametrize("gather", [False, True])
 def test_bucketed_tables_join_without_a_shuffle(spark, database, conf, gather):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
