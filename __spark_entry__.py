@@ -201,34 +201,34 @@ def detail_copy(spark, sf_dir):
     return sales.detail_rows(totals_with_nulls(spark, sf_dir))
 
 
-def _load(spark, sf_dir, name: str, job: Callable[..., bool]) -> dict[str, str]:
-    """Run ``job`` on a catalog table of the sales; the names of the tables it filled."""
-    names = {role: scratch(spark, sf_dir, f"{name}_{role}") for role in ("source", "summary", "detail")}
-    lines_with_nulls(spark, sf_dir).write.mode("overwrite").saveAsTable(names["source"])
-    for target in (names["summary"], names["detail"]):
+def _load(spark, sf_dir, name: str, source: str, job: Callable[..., bool]) -> dict[str, str]:
+    """Run ``job`` on the named sales; the names of the tables it filled."""
+    targets = {role: scratch(spark, sf_dir, f"{name}_{role}") for role in ("summary", "detail")}
+    for target in targets.values():
         writers.create_empty_table(spark, target, DETAIL_SCHEMA)
-    job(*Q1_1998, spark, **names)
-    return names
+    job(*Q1_1998, spark, source=source, scale=2, **targets)
+    return targets
 
 
 @query(_SUMMARY_NULLS)
 def sales_job_summary(spark, sf_dir):
-    return readers.read_table(spark, _load(spark, sf_dir, "job_s", _exact(sales.process_sales_data))["summary"])
+    source = scratch(spark, sf_dir, "sales_table")
+    lines_with_nulls(spark, sf_dir).write.mode("overwrite").saveAsTable(source)
+    return readers.read_table(spark, _load(spark, sf_dir, "job", source, sales.process_sales_data)["summary"])
 
 
 @query(_DETAIL)
 def sales_job_detail(spark, sf_dir):
-    job = _exact(sales.process_sales_data_with_validation)
-    return readers.read_table(spark, _load(spark, sf_dir, "job_d", job)["detail"])
+    with scope.temp_view(lines_with_nulls(spark, sf_dir), "sales_to_validate") as source:
+        targets = _load(spark, sf_dir, "job_validated", source, sales.process_sales_data_with_validation)
+    return readers.read_table(spark, targets["detail"])
 
 
 @query(_DETAIL)
 def sales_job_optimized(spark, sf_dir):
-    return readers.read_table(spark, _load(spark, sf_dir, "job_o", _exact(sales.process_sales_data_optimized))["detail"])
-
-
-def _exact(job: Callable[..., bool]) -> Callable[..., bool]:
-    return lambda *args, **options: job(*args, scale=2, **options)
+    with scope.temp_view(lines_with_nulls(spark, sf_dir), "sales_to_stage") as source:
+        targets = _load(spark, sf_dir, "job_optimized", source, sales.process_sales_data_optimized)
+    return readers.read_table(spark, targets["detail"])
 
 
 @query(

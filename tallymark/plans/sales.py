@@ -20,7 +20,7 @@ from tallymark.operators.quality import require_columns
 from tallymark.plans.session import build_session
 from tallymark.sources.readers import read_table
 from tallymark.sources.scope import held, temp_view
-from tallymark.sources.writers import append_by_name, replace_partition
+from tallymark.sources.writers import append_by_name, replace_partition, writing
 
 log = logging.getLogger(__name__)
 
@@ -169,11 +169,12 @@ def process_sales_data_sql(
     totals = sales_totals_sql(session, start_date, end_date, source)
     with held(totals, hold) as rows, temp_view(rows, f"temp_sales_summary_{uuid.uuid4().hex}") as name:
         for target, condition in ((summary, "TRUE"), (detail, "total_sales IS NOT NULL")):
-            session.sql(
+            insert = (
                 "INSERT INTO IDENTIFIER(:target) (product_id, total_sales) "
-                f"SELECT product_id, total_sales FROM {name} WHERE {condition}",
-                args={"target": target},
+                f"SELECT product_id, total_sales FROM {name} WHERE {condition}"
             )
+            with writing(session, target):
+                session.sql(insert, args={"target": target})
     return True
 
 

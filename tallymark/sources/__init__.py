@@ -21,6 +21,7 @@ from tallymark.sources.writers import (
     replace_partitions,
     write_bucketed,
     write_partitioned,
+    writing,
 )
 
 __all__ = [
@@ -50,4 +51,5 @@ __all__ = [
     "write_bucketed",
     "write_delimited",
     "write_partitioned",
+    "writing",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Collection, Iterator, Sequence
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +80,22 @@ def _for_target(df: DataFrame, table: str, allow_narrowing: bool, given: Collect
     return df.select(*(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in target))
 
 
+_LOCKS: dict[str, Lock] = {}
+
+
+@contextmanager
+def writing(spark: SparkSession, table: str) -> Iterator[None]:
+    """One writer per table and driver at a time.
+
+    Spark's file committer keeps the unfinished files of all appends to a table in one folder and removes it at the end
+    of each, so two of them at once could lose each other's files. Several drivers need a lock of their own, or tables
+    of their own.
+    """
+    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+    with _LOCKS.setdefault(name.replace("`", "").lower(), Lock()):
+        yield
+
+
 def append_by_name(df: DataFrame, table: str, *, allow_narrowing: bool = False) -> None:
     """Append to an existing table, matching columns by name.
 
@@ -86,12 +103,15 @@ def append_by_name(df: DataFrame, table: str, *, allow_narrowing: bool = False)
     the table's order first; missing, extra or narrowed columns raise :class:`UnsafeInsert`. For a partitioned table
     this is also the dynamic-partition insert: the partition value comes with each row.
     """
-    _for_target(df, table, allow_narrowing).write.mode("append").insertInto(table)
+    rows = _for_target(df, table, allow_narrowing)
+    with writing(df.sparkSession, table):
+        rows.write.mode("append").insertInto(table)
 
 
 def append_or_create(df: DataFrame, table: str) -> None:
     """Append by name; the first call creates the table."""
-    df.write.mode("append").saveAsTable(table)
+    with writing(df.sparkSession, table):
+        df.write.mode("append").saveAsTable(table)
 
 
 @contextmanager
@@ -114,7 +134,8 @@ def replace_partitions(df: DataFrame, table: str, *, allow_narrowing: bool = Fal
     overwrites in the same session meanwhile.
     """
     rows = _for_target(df, table, allow_narrowing)
-    with _session_option(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    option = _session_option(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+    with writing(df.sparkSession, table), option:
         rows.write.mode("overwrite").insertInto(table)
 
 
@@ -124,7 +145,7 @@ def replace_partition(df: DataFrame, table: str, *, allow_narrowing: bool = Fals
     ``df`` does not have these columns. An empty ``df`` leaves an empty partition.
     """
     rows = _for_target(df, table, allow_narrowing, given=values)
-    with temp_view(rows, f"new_rows_{uuid.uuid4().hex}") as view:
+    with temp_view(rows, f"new_rows_{uuid.uuid4().hex}") as view, writing(df.sparkSession, table):
         columns = ", ".join(f"`{name}`" for name in rows.columns)
         df.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} {partition_spec(values)} SELECT {columns} FROM {view}")
 

@@ -254,6 +254,16 @@ def test_periods_in_parallel(spark, tables):
     assert [rows(spark.table(f"detail_{i}")) for i in range(6)] == [[("P001", float(i))] for i in range(6)]
 
 
+@pytest.mark.parametrize("job", ["default", "sql"])
+def test_parallel_runs_into_the_same_tables(spark, tables, job):
+    days = [f"2024-{m:02d}-10" for m in range(1, 9)]
+    tables([(f"P{i}", d, float(i)) for i, d in enumerate(days)])
+    with ThreadPoolExecutor(4) as pool:
+        assert all(pool.map(lambda d: JOBS[job](d, d, spark), days))
+    expected = sorted((f"P{i}", float(i)) for i in range(8))
+    assert loaded(spark) == (expected, expected)
+
+
 def test_many_periods_in_one_job(spark, tables):
     tables(CASES["boundaries"][0])
     periods = sales.periods_frame(spark, [(1, *JANUARY), (2, "2023-12-31", "2024-01-01"), (3, "2025-01-01", "2025-01-02")])
