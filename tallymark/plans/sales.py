@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tallymark.operators.aggregates import total_by
+from tallymark.operators.aggregates import period_statistics, summary_statistics, total_by
 from tallymark.operators.audit import AuditTrail, counted
 from tallymark.operators.filters import Day, in_period, with_value
 from tallymark.operators.joins import totals_per_period
@@ -110,16 +110,20 @@ def process_sales_data_optimized(start_date: str, end_date: str, spark: SparkSes
     return process_sales_data(start_date, end_date, spark, **{**options, "hold": "table"})
 
 
+def validate_date_format(text: str | None) -> bool:
+    """Whether ``text`` is a calendar date in the form ``yyyy-MM-dd``, months and days with two digits."""
+    try:
+        return datetime.datetime.strptime(text, "%Y-%m-%d").strftime("%Y-%m-%d") == text
+    except (TypeError, ValueError):
+        return False
+
+
 def check_period(start: str | None, end: str | None) -> None:
     """Raise ``ValueError`` unless both are ``yyyy-MM-dd`` dates in order."""
     if not start or not end:
         raise ValueError("Start date and end date must be provided")
     for day in (start, end):
-        try:
-            parsed = datetime.datetime.strptime(day, "%Y-%m-%d").strftime("%Y-%m-%d")
-        except ValueError:
-            parsed = None
-        if parsed != day:
+        if not validate_date_format(day):
             raise ValueError(f"Not a date in the form yyyy-MM-dd: {day!r}")
     if start > end:
         raise ValueError("Start date must be less than or equal to end date")
@@ -151,7 +155,7 @@ def sales_totals_sql(
     )
 
 
-def process_sales_data_sql(
+def process_sales_data_sql_approach(
     start_date: str,
     end_date: str,
     spark: SparkSession | None = None,
@@ -210,6 +214,25 @@ def run_job(job: Callable[..., bool], *args, **options) -> bool:
         return False
 
 
+def process_sales_data_function(start_date: str, end_date: str, spark: SparkSession | None = None, **options) -> bool:
+    """:func:`process_sales_data` with a status instead of exceptions."""
+    return run_job(process_sales_data, start_date, end_date, spark, **options)
+
+
+def get_sales_statistics(
+    start_date: str, end_date: str, spark: SparkSession, source: str = SOURCE, *, scale: int | None = None
+) -> dict[str, float]:
+    """``total_records``, ``unique_products`` and ``total_sales_amount`` of a period, from one job."""
+    inside = in_period(read_table(spark, source), "sale_date", start_date, end_date)
+    return period_statistics(inside, "product_id", "sales", scale=scale).first().asDict()
+
+
+def get_sales_summary_stats(totals: DataFrame) -> dict[str, float] | None:
+    """The figures of :func:`summary_statistics`, or None when there is nothing to sum up."""
+    figures = summary_statistics(totals).first()
+    return figures and figures.asDict()
+
+
 class SalesDataProcessor:
     """The job bound to a session, with a status instead of exceptions."""
 

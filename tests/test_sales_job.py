@@ -21,7 +21,7 @@ JOBS = {
     "default": sales.process_sales_data,
     "validating": sales.process_sales_data_with_validation,
     "optimized": sales.process_sales_data_optimized,
-    "sql": sales.process_sales_data_sql,
+    "sql": sales.process_sales_data_sql_approach,
     "cached": lambda *a, **o: sales.process_sales_data(*a, hold="cache", **o),
 }
 
@@ -203,6 +203,36 @@ def test_status_instead_of_exception(spark, tables, caplog):
     assert sales.run_job(sales.process_sales_data, *JANUARY, spark) is True
 
 
+def test_function_form(spark, tables):
+    assert sales.process_sales_data_function(*JANUARY, spark) is False
+    tables(CASES["basic"][0])
+    assert sales.process_sales_data_function(*JANUARY, spark) is True
+    assert loaded(spark)[1] == CASES["basic"][2]
+
+
+def test_statistics(spark, tables):
+    tables(CASES["boundaries"][0])
+    found = sales.get_sales_statistics(*JANUARY, spark)
+    assert found == {"total_records": 2, "unique_products": 2, "total_sales_amount": 300.0}
+    totals = sales.sales_totals(spark.table(sales.SOURCE), *JANUARY)
+    assert sales.get_sales_summary_stats(totals) == {
+        "grand_total": 300.0,
+        "max_sales": 200.0,
+        "min_sales": 100.0,
+        "avg_sales": 150.0,
+        "total_products": 2,
+    }
+    assert sales.get_sales_summary_stats(totals.limit(0)) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "valid"),
+    [("2023-01-01", True), ("01-01-2023", False), ("2023/01/01", False), ("2024-02-30", False), ("", False), (None, False)],
+)
+def test_date_format(text, valid):
+    assert sales.validate_date_format(text) is valid
+
+
 def test_processor(spark, tables):
     tables(CASES["basic"][0])
     processor = sales.SalesDataProcessor(spark)
@@ -247,7 +277,7 @@ def test_periods_in_parallel(spark, tables):
         targets = {"summary": f"summary_{i}", "detail": f"detail_{i}"}
         for target in targets.values():
             sources.create_empty_table(spark, target, TARGET)
-        return sales.process_sales_data_sql(days[i], days[i], spark, **targets)
+        return sales.process_sales_data_sql_approach(days[i], days[i], spark, **targets)
 
     with ThreadPoolExecutor(3) as pool:
         assert all(pool.map(run, range(6)))
