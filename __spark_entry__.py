@@ -422,13 +422,13 @@ def row_count_check(spark, sf_dir):
 @query(_KEYED_DIFF)
 def keyed_diff(spark, sf_dir):
     left, right = version_pair(spark, sf_dir)
-    return reconcile.keyed_diff(left, right, ["k"]).filter("status <> 'same'").select("k", "status")
+    return reconcile.keyed_diff(left, right, ["k"], only_differences=True).select("k", "status")
 
 
 @query(_KEYED_DIFF)
 def keyed_diff_wide(spark, sf_dir):
     left, right = version_pair(spark, sf_dir)
-    return reconcile.keyed_diff_wide(left, right, ["k"]).select("k", "status")
+    return reconcile.keyed_diff(left, right, ["k"], only_differences=True, by_hash=True).select("k", "status")
 
 
 _PARTS_PER_YEAR = f"""

@@ -21,7 +21,7 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """Size of a row: the length of its texts and nested values, and a fixed width per column."""
 
     def varying(field: StructField) -> Column | None:
@@ -43,17 +43,27 @@ def fits_broadcast(
 
     The count needs no column, so of a Parquet table it reads the footers only; each task sends one number.
     """
-    return df.count() <= max_rows and (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
+    return df.count() <= max_rows and (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= max_bytes
+
+
+def broadcast_within(
+    df: DataFrame,
+    n_rows: int,
+    n_bytes: int | None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """``df``, whose size has been measured, marked for broadcast if it is within the bounds."""
+    return F.broadcast(df) if n_rows <= max_rows and (n_bytes or 0) <= max_bytes else df
 
 
 def checkpointed_lookup(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """A computed lookup table: computed once, kept in the shared folder, measured on the way, broadcast only if small."""
-    watched, seen = counted(df, n_bytes=F.sum(_row_bytes(df)))
+    watched, seen = counted(df, n_bytes=F.sum(row_bytes(df)))
     kept = checkpointed(watched)
-    small = seen.get["n_rows"] <= max_rows and (seen.get["n_bytes"] or 0) <= max_bytes
-    return F.broadcast(kept) if small else kept
+    return broadcast_within(kept, seen.get["n_rows"], seen.get["n_bytes"], max_rows, max_bytes)
 
 
 def broadcast_if_small(
@@ -142,7 +152,7 @@ def totals_per_period(
         F.min(start).cast("date").alias("first"),
         F.max(end).cast("date").alias("last"),
         F.coalesce(F.sum(n_days), F.lit(0)).alias("n_pairs"),
-        F.coalesce(F.sum(n_days * _row_bytes(periods.select(range_id, start))), F.lit(0)).alias("n_bytes"),
+        F.coalesce(F.sum(n_days * row_bytes(periods.select(range_id, start))), F.lit(0)).alias("n_bytes"),
     ).first()
     day = F.col(date).cast("date")
     # decimal sums stay decimal until the end, so that both steps are exact

@@ -12,10 +12,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from tallymark.functions.compare import changed_columns, row_fingerprint, values_match
+from tallymark.operators.audit import counted
 from tallymark.operators.filters import Day, period_condition
-from tallymark.operators.joins import checkpointed_lookup, same_keys
+from tallymark.operators.joins import broadcast_within, row_bytes, same_keys
+from tallymark.sources.scope import checkpointed
 
 
 def _both(left: DataFrame, right: DataFrame, columns: Sequence[Column]) -> DataFrame:
@@ -78,6 +81,11 @@ def aggregate_diff(
     )
 
 
+# Up to so many numbers, dates or booleans per row travel to their key as they are; more, or texts, as hashes.
+VALUES_PER_ROW = 4
+_FIXED_WIDTH = (BooleanType, DateType, NumericType, TimestampNTZType, TimestampType)
+
+
 def keyed_diff(
     left: DataFrame,
     right: DataFrame,
@@ -86,21 +94,51 @@ def keyed_diff(
     compare: Sequence[str] | None = None,
     tolerance: float | Mapping[str, float] = 0.0,
     with_values: bool = False,
+    only_differences: bool = False,
+    by_hash: bool | None = None,
 ) -> DataFrame:
     """Status of every key: ``same``, ``changed``, ``only_left``, ``only_right`` or ``repeated``.
 
     ``changed_columns`` names the columns that differ, ``left_rows`` and ``right_rows`` count the rows of the key. A key
     with several rows on a side is ``repeated``: it has no single row to compare, and :func:`bag_diff` compares such
-    rows as a bag. ``tolerance`` is one number for all columns or one per column.
+    rows as a bag. ``tolerance`` is one number for all numeric columns or one per column. ``with_values`` adds the values
+    of both sides where each has a single row and they were compared by value.
+
+    A few numbers per row are grouped as they are. For wider rows, or with ``by_hash``, only the keys and two 64-bit
+    hashes of the row are shuffled; whole rows travel just for the keys whose hashes differ, and those are compared by
+    value. Two different rows would have to agree in both hashes to be missed.
     """
     columns = [c for c in (compare or left.columns) if c not in keys]
-    tolerances = dict(tolerance) if isinstance(tolerance, Mapping) else _numeric_tolerances(left, columns, tolerance)
+    numeric = [c for c in columns if isinstance(left.schema[c].dataType, NumericType)]
+    tolerances = tolerance if isinstance(tolerance, Mapping) else dict.fromkeys(numeric, tolerance)
+    if by_hash is None:
+        narrow = len(columns) <= VALUES_PER_ROW
+        by_hash = not (narrow and all(isinstance(left.schema[c].dataType, _FIXED_WIDTH) for c in columns))
+    if by_hash:
+        return _diff_by_hash(left, right, keys, columns, tolerances, with_values, only_differences)
+    return _diff_by_value(left, right, keys, columns, tolerances, with_values, only_differences)
+
+
+def _key_status(differs: Column) -> Column:
+    return (
+        F.when((F.col("left_rows") > 1) | (F.col("right_rows") > 1), "repeated")
+        .when(F.col("right_rows") == 0, "only_left")
+        .when(F.col("left_rows") == 0, "only_right")
+        .when(differs, "changed")
+        .otherwise("same")
+    )
+
+
+def _rows_per_side() -> tuple[Column, Column]:
+    return tuple(F.count(_side(s, F.lit(1))).alias(name) for s, name in ((True, "left_rows"), (False, "right_rows")))
+
+
+def _diff_by_value(left, right, keys, columns, tolerances, with_values, only_differences) -> DataFrame:
     grouped = (
         _both(left, right, [F.col(c) for c in (*keys, *columns)])
         .groupBy(*keys)
         .agg(
-            F.count(_side(True, F.lit(1))).alias("left_rows"),
-            F.count(_side(False, F.lit(1))).alias("right_rows"),
+            *_rows_per_side(),
             *(F.first(_side(True, F.col(c)), ignorenulls=True).alias(f"left_{c}") for c in columns),
             *(F.first(_side(False, F.col(c)), ignorenulls=True).alias(f"right_{c}") for c in columns),
         )
@@ -109,7 +147,7 @@ def keyed_diff(
     pairs = {c: (F.col(f"left_{c}"), F.col(f"right_{c}")) for c in columns}
     changed = F.when(single, changed_columns(pairs, tolerances) if pairs else F.array().cast("array<string>"))
     shown = [F.when(single, F.col(n)).alias(n) for c in columns for n in (f"left_{c}", f"right_{c}")]
-    return grouped.withColumn("changed_columns", changed).select(
+    result = grouped.withColumn("changed_columns", changed).select(
         *keys,
         _key_status(F.size("changed_columns") > 0).alias("status"),
         "changed_columns",
@@ -117,61 +155,41 @@ def keyed_diff(
         "right_rows",
         *(shown if with_values else []),
     )
+    return result.filter("status <> 'same'") if only_differences else result
 
 
-def _numeric_tolerances(df: DataFrame, columns: Sequence[str], tolerance: float) -> dict[str, float]:
-    numeric = ("byte", "short", "integer", "long", "float", "double", "decimal")
-    return {c: tolerance for c in columns if df.schema[c].dataType.typeName() in numeric}
-
-
-def _key_status(differs: Column) -> Column:
-    return (
-        F.when((F.col("left_rows") > 1) | (F.col("right_rows") > 1), "repeated")
-        .when(F.col("right_rows") == 0, "only_left")
-        .when(F.col("left_rows") == 0, "only_right")
-        .when(differs, "changed")
-        .otherwise("same")
-    )
-
-
-def keyed_diff_wide(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    *,
-    compare: Sequence[str] | None = None,
-    tolerance: float | Mapping[str, float] = 0.0,
-    with_values: bool = False,
-) -> DataFrame:
-    """The keys of :func:`keyed_diff` that are not ``same``, for tables with many or wide columns.
-
-    First only the keys and two 64-bit hashes of the row are shuffled; whole rows travel just for the keys whose hashes
-    differ, and those are compared by value. Two different rows would have to agree in both hashes to be missed.
-    """
-    columns = [c for c in (compare or left.columns) if c not in keys]
+def _diff_by_hash(left, right, keys, columns, tolerances, with_values, only_differences) -> DataFrame:
     hashes = [row_fingerprint(columns, seed).alias(f"_hash{seed}") for seed in (0, 1)]
     grouped = (
         _both(left, right, [*(F.col(k) for k in keys), *hashes])
         .groupBy(*keys)
         .agg(
-            F.count(_side(True, F.lit(1))).alias("left_rows"),
-            F.count(_side(False, F.lit(1))).alias("right_rows"),
+            *_rows_per_side(),
             *(F.min(f"_hash{seed}").alias(f"_low{seed}") for seed in (0, 1)),
             *(F.max(f"_hash{seed}").alias(f"_high{seed}") for seed in (0, 1)),
         )
-        .withColumn("_differs", (F.col("_low0") != F.col("_high0")) | (F.col("_low1") != F.col("_high1")))
     )
-    suspects = grouped.select(*keys, _key_status(F.col("_differs")).alias("status")).filter("status <> 'same'")
-    # read for both sides, so computed once and kept
-    suspects = checkpointed_lookup(suspects.select(*keys)).alias("s")
+    differs = (F.col("_low0") != F.col("_high0")) | (F.col("_low1") != F.col("_high1"))
+    found = grouped.select(*keys, _key_status(differs).alias("status"), "left_rows", "right_rows")
+    if only_differences:
+        found = found.filter("status <> 'same'")
+    # read three times below, so computed once and kept
+    is_changed = F.col("status") == "changed"
+    size = F.sum(F.when(is_changed, row_bytes(found.select(*keys))))
+    watched, seen = counted(found, n_changed=F.count_if(is_changed), n_bytes=size)
+    found = checkpointed(watched)
+    suspects = found.filter(is_changed).select(*keys)
+    suspects = broadcast_within(suspects, seen.get["n_changed"], seen.get["n_bytes"]).alias("s")
 
     def rows_of(df: DataFrame) -> DataFrame:
         return df.select(*keys, *columns).alias("d").join(suspects, same_keys("d", "s", keys), "left_semi")
 
-    full = keyed_diff(
-        rows_of(left), rows_of(right), keys, compare=columns, tolerance=tolerance, with_values=with_values
+    compared = _diff_by_value(
+        rows_of(left), rows_of(right), keys, columns, tolerances, with_values, only_differences
     )
-    return full.filter("status <> 'same'")
+    none = F.when(F.col("status") == "same", F.array().cast("array<string>"))
+    settled = found.filter(~is_changed).withColumn("changed_columns", none)
+    return compared.unionByName(settled, allowMissingColumns=True)
 
 
 def bag_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -375,7 +393,8 @@ def report(
     def keys_with(*status: str) -> Column:
         return F.count_if(F.col("status").isin(*status))
 
-    by_key = keyed_diff(left, right, keys, compare=columns, tolerance=tolerance).agg(
+    differing = keyed_diff(left, right, keys, compare=columns, tolerance=tolerance, only_differences=True)
+    by_key = differing.agg(
         F.count_if(F.col("left_rows") > 1).alias("repeated_left"),
         F.count_if(F.col("right_rows") > 1).alias("repeated_right"),
         keys_with("changed", "only_left").alias("differing_left"),

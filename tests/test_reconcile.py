@@ -83,20 +83,42 @@ def test_keyed_diff_by_keys_alone(spark):
 
 
 @pytest.mark.parametrize("tolerance", [0.0, 0.01])
-def test_wide_form_finds_the_same(spark, tolerance):
+@pytest.mark.parametrize("only_differences", [True, False])
+@pytest.mark.parametrize("with_values", [True, False])
+def test_hashes_and_values_find_the_same(spark, tolerance, only_differences, with_values):
     left, right = frame(spark, *LEFT, schema=WIDE), frame(spark, *RIGHT, schema=WIDE)
-    plain = rec.keyed_diff(left, right, ["k"], tolerance=tolerance, with_values=True).filter("status <> 'same'")
-    wide = rec.keyed_diff_wide(left, right, ["k"], tolerance=tolerance, with_values=True)
-    assert rows(wide) == rows(plain)
+    options = {"tolerance": tolerance, "only_differences": only_differences}
+    by_value, by_hash = (
+        rec.keyed_diff(left, right, ["k"], with_values=with_values, by_hash=h, **options) for h in (False, True)
+    )
+    assert by_value.columns == by_hash.columns
+    if with_values:  # values are shown where they were compared
+        by_value, by_hash = (df.filter("status = 'changed'") for df in (by_value, by_hash))
+    assert rows(by_hash) == rows(by_value)
 
 
 def test_two_keys(spark):
     schema = "a int, b string, v int"
     left = frame(spark, (1, None, 1), (1, "x", 1), (None, "x", 1), schema=schema)
     right = frame(spark, (1, None, 2), (1, "x", 1), (None, "x", 1), schema=schema)
-    for diff in (rec.keyed_diff, rec.keyed_diff_wide):
-        found = diff(left, right, ["a", "b"]).filter("status <> 'same'").select("a", "b", "status")
-        assert rows(found) == [(1, None, "changed")]
+    for by_hash in (False, True):
+        found = rec.keyed_diff(left, right, ["a", "b"], by_hash=by_hash, only_differences=True)
+        assert rows(found.select("a", "b", "status")) == [(1, None, "changed")]
+
+
+def test_beyond_the_broadcast_bound(spark, monkeypatch):
+    from tallymark.operators import joins
+
+    left, right = frame(spark, *LEFT, schema=WIDE), frame(spark, *RIGHT, schema=WIDE)
+    expected = rows(rec.keyed_diff(left, right, ["k"], by_hash=True))
+    monkeypatch.setattr(joins.broadcast_within, "__defaults__", (-1, -1))
+    assert rows(rec.keyed_diff(left, right, ["k"], by_hash=True)) == expected
+
+
+def test_what_travels_follows_from_the_columns(spark):
+    numbers, texts = frame(spark, (1, 1.0)), frame(spark, (1, "a"), schema="k int, v string")
+    assert "hash" not in physical_plan(rec.keyed_diff(numbers, numbers, ["k"])).replace("hashpartitioning", "")
+    assert "ExistingRDD" in physical_plan(rec.keyed_diff(texts, texts, ["k"]))
 
 
 def edited(dice, n):
@@ -122,8 +144,8 @@ def test_random_edits_are_found_exactly(spark, seed):
         spark.createDataFrame([(k, *v) for k, v in side.items()], "k int, name string, v double").repartition(5)
         for side in (left, right)
     ]
-    for diff in (rec.keyed_diff, rec.keyed_diff_wide):
-        found = diff(*frames, ["k"]).filter("status <> 'same'")
+    for by_hash in (False, True):
+        found = rec.keyed_diff(*frames, ["k"], by_hash=by_hash, only_differences=True)
         assert {r.k: r.status for r in found.collect()} == expected
     count = Counter(expected.values())
     surplus = [r.surplus for r in rec.bag_diff(*frames).collect()]
