@@ -231,6 +231,18 @@ def sales_job_optimized(spark, sf_dir):
     return readers.read_table(spark, targets["detail"])
 
 
+@query(_DETAIL)
+def sales_job_sql(spark, sf_dir):
+    targets = {role: scratch(spark, sf_dir, f"job_sql_{role}") for role in ("summary", "detail")}
+    for target in targets.values():
+        writers.create_empty_table(spark, target, DETAIL_SCHEMA)
+    # the SQL form sums what the source holds, so the source holds decimals
+    exact = lines_with_nulls(spark, sf_dir).withColumn("sales", F.col("sales").cast("decimal(18,2)"))
+    with scope.temp_view(exact, "sales_for_sql") as source:
+        sales.process_sales_data_sql_approach(*Q1_1998, spark, source=source, **targets)
+    return readers.read_table(spark, targets["detail"])
+
+
 @query(
     f"""WITH t AS ({_SUMMARY_NULLS}) SELECT product_id, total_sales FROM t WHERE product_id <
     (SELECT COALESCE(MIN(CASE WHEN total_sales IS NULL THEN product_id END), 9223372036854775807) FROM t)"""
@@ -315,6 +327,20 @@ def events_whole_day(spark, sf_dir):
     )
 
 
+@query(
+    f"""SELECT event_type, COUNT(*) AS n, {_SUM.format("value")} AS total_value FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-10' GROUP BY event_type"""
+)
+def pruned_days(spark, sf_dir):
+    name = scratch(spark, sf_dir, "events_by_day")
+    daily = table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    writers.write_partitioned(daily, name, ["day"], compact=True)
+    rows = filters.in_period(spark.table(name), "day", "2024-01-05", "2024-01-10")
+    return aggregates.count_and_total_by(
+        rows, ["event_type"], "value", count_name="n", total_name="total_value", scale=2
+    )
+
+
 @query(
     """SELECT CAST(timezone('UTC', timezone('America/New_York', ts)) AS DATE) AS utc_day, COUNT(*) AS n FROM events
     GROUP BY CAST(timezone('UTC', timezone('America/New_York', ts)) AS DATE)"""

@@ -19,9 +19,14 @@ class MissingColumns(ValueError):
     """Required columns are absent."""
 
 
+def missing_columns(df: DataFrame, *names: str) -> list[str]:
+    """Those of ``names`` that ``df`` does not have."""
+    return [name for name in names if name not in df.columns]
+
+
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     """``df`` itself, or :class:`MissingColumns` before any job starts."""
-    missing = [name for name in names if name not in df.columns]
+    missing = missing_columns(df, *names)
     if missing:
         raise MissingColumns(f"missing columns: {', '.join(missing)}; present: {', '.join(df.columns)}")
     return df

@@ -12,19 +12,30 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from tallymark.functions.compare import changed_columns, row_fingerprint, values_match
 from tallymark.operators.audit import counted
 from tallymark.operators.filters import Day, period_condition
 from tallymark.operators.joins import broadcast_within, row_bytes, same_keys
+from tallymark.operators.quality import require_columns
 from tallymark.sources.scope import checkpointed
 
 
+def _same_types(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the types of their union. Text against another type is compared as text."""
+    for name in left.columns:
+        is_text = [isinstance(df.schema[name].dataType, StringType) for df in (left, right)]
+        if any(is_text) and not all(is_text):
+            left, right = (df.withColumn(name, F.col(f"`{name}`").cast("string")) for df in (left, right))
+    types = left.unionByName(right).schema
+    return tuple(df.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in types)) for df in (left, right))
+
+
 def _both(left: DataFrame, right: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    return left.select(*columns, F.lit(True).alias("_is_left")).unionByName(
-        right.select(*columns, F.lit(False).alias("_is_left"))
-    )
+    """The given columns of the rows of both sides, with a column that tells the side."""
+    sides = _same_types(*(df.select(*columns) for df in (left, right))) if columns else (left.select(), right.select())
+    return sides[0].withColumn("_is_left", F.lit(True)).unionByName(sides[1].withColumn("_is_left", F.lit(False)))
 
 
 def _side(is_left: bool, value: Column) -> Column:
@@ -109,11 +120,12 @@ def keyed_diff(
     value. Two different rows would have to agree in both hashes to be missed.
     """
     columns = [c for c in (compare or left.columns) if c not in keys]
-    numeric = [c for c in columns if isinstance(left.schema[c].dataType, NumericType)]
+    left, right = _same_types(*(require_columns(df, *keys, *columns).select(*keys, *columns) for df in (left, right)))
+    types = {c: left.schema[c].dataType for c in columns}
+    numeric = [c for c in columns if isinstance(types[c], NumericType)]
     tolerances = tolerance if isinstance(tolerance, Mapping) else dict.fromkeys(numeric, tolerance)
     if by_hash is None:
-        narrow = len(columns) <= VALUES_PER_ROW
-        by_hash = not (narrow and all(isinstance(left.schema[c].dataType, _FIXED_WIDTH) for c in columns))
+        by_hash = len(columns) > VALUES_PER_ROW or not all(isinstance(t, _FIXED_WIDTH) for t in types.values())
     if by_hash:
         return _diff_by_hash(left, right, keys, columns, tolerances, with_values, only_differences)
     return _diff_by_value(left, right, keys, columns, tolerances, with_values, only_differences)

@@ -41,7 +41,8 @@ def sales_totals(
 ) -> DataFrame:
     """``product_id, total_sales`` of the period. All-NULL products stay in, with a NULL total."""
     inside = in_period(require_columns(sales, product, amount, date), date, start, end, as_text=as_text)
-    return total_by(inside.withColumnRenamed(product, "product_id"), ["product_id"], amount, scale=scale)
+    rows = inside.select(F.col(product).alias("product_id"), F.col(amount).alias("sales"))
+    return total_by(rows, ["product_id"], "sales", scale=scale)
 
 
 def detail_rows(totals: DataFrame) -> DataFrame:
@@ -201,8 +202,10 @@ def sales_totals_per_period(
     scale: int | None = None,
 ) -> DataFrame:
     """``range_id, product_id, total_sales`` for many periods from one read of the sales."""
-    renamed = require_columns(sales, product, amount, date).withColumnRenamed(product, "product_id")
-    return totals_per_period(renamed, periods, keys=["product_id"], value=amount, date=date, scale=scale)
+    rows = require_columns(sales, product, amount, date).select(
+        F.col(product).alias("product_id"), F.col(amount).alias("sales"), F.col(date).alias("sale_date")
+    )
+    return totals_per_period(rows, periods, keys=["product_id"], value="sales", date="sale_date", scale=scale)
 
 
 def run_job(job: Callable[..., bool], *args, **options) -> bool:

@@ -8,6 +8,7 @@ from conftest import physical_plan, rows
 from pyspark.sql import functions as F
 
 from tallymark.operators import reconcile as rec
+from tallymark.operators.quality import MissingColumns
 
 KV = "k int, v double"
 
@@ -97,6 +98,24 @@ def test_hashes_and_values_find_the_same(spark, tolerance, only_differences, wit
     assert rows(by_hash) == rows(by_value)
 
 
+def test_sides_of_different_types(spark):
+    left = spark.createDataFrame([(1, 1, 1.5), (2, 2, 2.5)], "k int, n int, v double")
+    right = spark.createDataFrame([(1, 1, "1.5"), (2, 3, "n/a")], "k bigint, n bigint, v string")
+    for by_hash in (None, False, True):
+        found = rec.keyed_diff(left, right, ["k"], by_hash=by_hash, tolerance=0.1)
+        assert {r.k: r.changed_columns for r in found.collect()} == {1: [], 2: ["n", "v"]}
+    found = {(r.check_name, r.item): r.status for r in rec.report(left, right, ["k"]).collect()}
+    assert found["schema", None] == "fail" and found["row_count", None] == "pass"
+    assert rec.bag_diff(left, right).count() == 2
+
+
+def test_missing_key_stops_the_comparison(spark):
+    left = frame(spark, (1, 1.0))
+    for compare in (rec.keyed_diff, rec.report):
+        with pytest.raises(MissingColumns, match="k"):
+            compare(left, left.withColumnRenamed("k", "key"), ["k"])
+
+
 def test_two_keys(spark):
     schema = "a int, b string, v int"
     left = frame(spark, (1, None, 1), (1, "x", 1), (None, "x", 1), schema=schema)
