@@ -17,15 +17,20 @@ from tallymark.operators.audit import AuditTrail, counted
 from tallymark.operators.filters import Day, in_period, with_value
 from tallymark.operators.joins import totals_per_period
 from tallymark.operators.quality import require_columns
+from tallymark.operators.reconcile import bag_diff
 from tallymark.plans.session import build_session
 from tallymark.sources.readers import read_table
 from tallymark.sources.scope import held, temp_view
-from tallymark.sources.writers import append_by_name, replace_partition, writing
+from tallymark.sources.writers import append_by_name, fit_to_table, replace_partition, writing
 
 log = logging.getLogger(__name__)
 
-PERIODS = pa.schema([("range_id", pa.int32()), ("s", pa.date32()), ("e", pa.date32())])
+# The names of the tables and the messages of the validating form.
 SOURCE, SUMMARY, DETAIL = "sales_table", "summary_table", "detailed_sales_summary"
+DATES_MISSING = "Start date and end date must be provided"
+DATES_INVERTED = "Start date must be less than or equal to end date"
+
+PERIODS = pa.schema([("range_id", pa.int32()), ("s", pa.date32()), ("e", pa.date32())])
 
 
 def sales_totals(
@@ -50,6 +55,14 @@ def detail_rows(totals: DataFrame) -> DataFrame:
     return with_value(totals, "total_sales")
 
 
+def load_gaps(summary: DataFrame, detail: DataFrame) -> DataFrame:
+    """Rows that one of the two tables lacks (``surplus`` > 0: the detail); empty after complete loads.
+
+    This is what a failure between the two writes of a load leaves behind.
+    """
+    return bag_diff(detail_rows(summary), detail)
+
+
 def load_targets(
     totals: DataFrame,
     summary: str,
@@ -95,11 +108,13 @@ def process_sales_data(
     """
     session = spark or build_session()
     totals = sales_totals(read_table(session, source), start_date, end_date, scale=scale, as_text=as_text)
+    partition = {period_column: f"{start_date}/{end_date}"} if period_column else {}
+    for target in (summary, detail):
+        fit_to_table(totals, target, allow_narrowing=allow_narrowing, given=partition)  # raises before anything runs
     if audit:
         totals = audit.step(totals, "summary", n_without_total=F.count_if(F.col("total_sales").isNull()))
     totals, seen = counted(totals, n_detail=F.count("total_sales"))
     with held(totals, hold) as rows:
-        partition = {period_column: f"{start_date}/{end_date}"} if period_column else None
         load_targets(rows, summary, detail, partition=partition, allow_narrowing=allow_narrowing)
     figures = seen.get
     log.info("%s to %s: %d products, %d with a total", start_date, end_date, figures["n_rows"], figures["n_detail"])
@@ -122,12 +137,12 @@ def validate_date_format(text: str | None) -> bool:
 def check_period(start: str | None, end: str | None) -> None:
     """Raise ``ValueError`` unless both are ``yyyy-MM-dd`` dates in order."""
     if not start or not end:
-        raise ValueError("Start date and end date must be provided")
+        raise ValueError(DATES_MISSING)
     for day in (start, end):
         if not validate_date_format(day):
             raise ValueError(f"Not a date in the form yyyy-MM-dd: {day!r}")
     if start > end:
-        raise ValueError("Start date must be less than or equal to end date")
+        raise ValueError(DATES_INVERTED)
 
 
 def process_sales_data_with_validation(
@@ -246,7 +261,7 @@ class SalesDataProcessor:
 
     def process_sales_data(self, start_date: str, end_date: str) -> bool:
         if not start_date or not end_date:
-            log.error("Start date and end date must be provided")
+            log.error(DATES_MISSING)
             return False
         return run_job(process_sales_data, start_date, end_date, self.spark, **self._options)
 

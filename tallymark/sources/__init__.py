@@ -17,6 +17,7 @@ from tallymark.sources.writers import (
     append_by_name,
     append_or_create,
     create_empty_table,
+    fit_to_table,
     replace_partition,
     replace_partitions,
     write_bucketed,
@@ -39,6 +40,7 @@ __all__ = [
     "drop_tables",
     "drop_temp_views",
     "drop_views",
+    "fit_to_table",
     "held",
     "read_delimited",
     "read_table",

@@ -62,7 +62,13 @@ def _fits(source: DataType, target: DataType) -> bool:
     return source.simpleString() == target.simpleString()
 
 
-def _for_target(df: DataFrame, table: str, allow_narrowing: bool, given: Collection[str] = ()) -> DataFrame:
+def fit_to_table(
+    df: DataFrame, table: str, *, allow_narrowing: bool = False, given: Collection[str] = ()
+) -> DataFrame:
+    """``df`` in the columns, order and types of ``table`` without the partition columns ``given`` otherwise.
+
+    Reads no data: a missing table, missing or extra columns and narrowing raise at once.
+    """
     target = [field for field in df.sparkSession.table(table).schema if field.name not in given]
     have = {field.name.lower(): field for field in df.schema}
     wanted = {field.name.lower() for field in target}
@@ -103,7 +109,7 @@ def append_by_name(df: DataFrame, table: str, *, allow_narrowing: bool = False)
     the table's order first; missing, extra or narrowed columns raise :class:`UnsafeInsert`. For a partitioned table
     this is also the dynamic-partition insert: the partition value comes with each row.
     """
-    rows = _for_target(df, table, allow_narrowing)
+    rows = fit_to_table(df, table, allow_narrowing=allow_narrowing)
     with writing(df.sparkSession, table):
         rows.write.mode("append").insertInto(table)
 
@@ -133,7 +139,7 @@ def replace_partitions(df: DataFrame, table: str, *, allow_narrowing: bool = Fal
     ``insertInto`` takes no write options, so the mode is set on the session for the time of the write; do not run other
     overwrites in the same session meanwhile.
     """
-    rows = _for_target(df, table, allow_narrowing)
+    rows = fit_to_table(df, table, allow_narrowing=allow_narrowing)
     option = _session_option(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic")
     with writing(df.sparkSession, table), option:
         rows.write.mode("overwrite").insertInto(table)
@@ -144,7 +150,7 @@ def replace_partition(df: DataFrame, table: str, *, allow_narrowing: bool = Fals
 
     ``df`` does not have these columns. An empty ``df`` leaves an empty partition.
     """
-    rows = _for_target(df, table, allow_narrowing, given=values)
+    rows = fit_to_table(df, table, allow_narrowing=allow_narrowing, given=values)
     with temp_view(rows, f"new_rows_{uuid.uuid4().hex}") as view, writing(df.sparkSession, table):
         columns = ", ".join(f"`{name}`" for name in rows.columns)
         df.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} {partition_spec(values)} SELECT {columns} FROM {view}")

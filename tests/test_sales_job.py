@@ -123,6 +123,24 @@ def test_running_again_appends_again(spark, tables):
     assert loaded(spark)[0] == sorted(expected * 2)
 
 
+def test_a_failure_between_the_writes_is_found(spark, tables):
+    tables([("P001", "2024-01-15", 100.0), ("P002", "2024-01-20", None)])
+    sales.process_sales_data(*JANUARY, spark)
+    assert sales.load_gaps(spark.table(sales.SUMMARY), spark.table(sales.DETAIL)).count() == 0
+    sources.append_by_name(sales.sales_totals(spark.table(sales.SOURCE), *JANUARY), sales.SUMMARY)
+    assert rows(sales.load_gaps(spark.table(sales.SUMMARY), spark.table(sales.DETAIL))) == [("P001", 100.0, 1)]
+
+
+@pytest.mark.parametrize("detail", ["no_such_table", "too_narrow", "other_columns"])
+def test_unfit_targets_are_found_before_the_first_write(spark, tables, detail):
+    tables(CASES["basic"][0])
+    sources.create_empty_table(spark, "too_narrow", "product_id string, total_sales float")
+    sources.create_empty_table(spark, "other_columns", "product_id string, total double")
+    with pytest.raises((AnalysisException, sources.UnsafeInsert)):
+        sales.process_sales_data(*JANUARY, spark, detail=detail)
+    assert loaded(spark) == ([], [])
+
+
 def test_running_a_period_again_replaces_it(spark, tables):
     tables(CASES["boundaries"][0])
     for target in (sales.SUMMARY, sales.DETAIL):
