@@ -781,6 +781,21 @@ def audit_trail(spark, sf_dir):
     return trail.rows().select("step", F.col("value").cast("long").alias("n_rows"))
 
 
+# --- operators of a training-data pipeline, if they are there ---------------------------------------------------------
+
+
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    try:
+        import corpus_pipeline
+        from tallymark.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tallymark.llm"):
+            raise
+        return {}, {}
+    pipeline_sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.SQL, **pipeline_sql}
+
+
 # --- contract ------------------------------------------------------------------------------------------------------
 
 
@@ -789,8 +804,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_llm()[1]}
