@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import mixing, packing, token_counts
-from tallymark.llm.frames import table
+from tallymark.llm import mixing, packing, simhash, token_counts
+from tallymark.llm.frames import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,13 @@ def vocabulary(name: str) -> str:
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
@@ -59,3 +65,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         keep_text=False,
     )
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grouped = simhash.group(docs)
+    return grouped.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
