@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import mixing, packing, simhash, token_counts
-from tallymark.llm.frames import importable, table
+from tallymark.llm import mixing, packing, simhash, token_counts, toxicity
+from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +72,25 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     grouped = simhash.group(docs)
     return grouped.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame, settings: toxicity.Settings):
+    """Trained on the labelled documents that are not held out."""
+    learned = labels.where(~held_out(F.col("doc_id")))
+    return toxicity.train(
+        toxicity.sample(docs, learned, settings, key="doc_id", text="text", label="toxic"), settings
+    )
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    settings = toxicity.Settings()
+    leans, bias = toxicity_model(docs, table(spark, sf_dir, "labels"), settings)
+    scored = toxicity.score(docs, leans, bias, settings, name="score", keep_text=False)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
