@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import mixing, packing, simhash, token_counts, toxicity
+from tallymark.llm import html_text, mixing, packing, simhash, token_counts, toxicity
 from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
