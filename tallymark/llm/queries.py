@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import html_text, mixing, packing, simhash, token_counts, toxicity
+from tallymark.llm import html_text, language, mixing, packing, simhash, token_counts, toxicity
 from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     extracted = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    filters = language.fit(docs.where(~held_out(F.col("doc_id"))))
+    found = language.detect(docs.select("doc_id", "text"), filters, keep_text=False)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
