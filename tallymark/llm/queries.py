@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import html_text, language, mixing, packing, simhash, token_counts, toxicity
+from tallymark.llm import html_text, language, mixing, packing, pii, simhash, token_counts, toxicity
 from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,19 @@ def op2_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters = language.fit(docs.where(~held_out(F.col("doc_id"))))
     found = language.detect(docs.select("doc_id", "text"), filters, keep_text=False)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, pii.fit(docs), keep_text=False)
+    base, further = F.col("pii.base"), F.col("pii.further")
+    counts = [
+        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
+        pii.joined(F.concat(base, further)).alias("spans"),
+    )
