@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import html_text, language, mixing, packing, pii, simhash, token_counts, toxicity
+from tallymark.llm import html_text, language, lattice, mixing, packing, pii, simhash, token_counts, toxicity
 from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,8 +115,9 @@ def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.detect(docs, pii.fit(docs), keep_text=False)
     base, further = F.col("pii.base"), F.col("pii.further")
+    kinds = F.transform(base, lambda span: span["kind"])
     counts = [
-        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS
     ]
     return found.select(
         "doc_id",
@@ -124,3 +125,8 @@ def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
         pii.joined(F.concat(base, further)).alias("spans"),
     )
+
+
+@query
+def op10_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.link(table(spark, sf_dir, "embeddings"), 0.93)
