@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import html_text, language, lattice, mixing, packing, pii, simhash, token_counts, toxicity
+from tallymark.llm import html_text, language, lattice, mixing, neighbours, packing, pii, simhash, token_counts, toxicity
 from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,9 @@ def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.link(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query
+def op5_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(neighbours.build(rows), rows.where("vec_id % 20 = 0"), 20)

@@ -153,13 +153,16 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
 
 
 class Scorer:
-    def __init__(self, leans: np.ndarray, bias: float, settings: Settings, max_words: int = 500_000):
+    def __init__(self, leans: np.ndarray, bias: float, settings: Settings, max_words: int = 1_200_000):
         self._leans, self._bias, self._settings = leans, bias, settings
         self._known: dict[str, float] = {}
         self._max_words = max_words
 
-    def _lean(self, word: str) -> float:
-        return float(self._leans[subwords(word, self._settings)].mean())
+    def _learn(self, words: list[str]) -> None:
+        grams = [subwords(w, self._settings) for w in words]
+        sizes = np.array([len(g) for g in grams])
+        total = np.add.reduceat(self._leans[[x for g in grams for x in g]], np.cumsum(sizes) - sizes)
+        self._known.update(zip(words, (total / sizes).tolist(), strict=True))
 
     def __call__(self, text: str) -> float:
         words, known = _WORDS(text.lower()), self._known
@@ -168,14 +171,24 @@ class Scorer:
         except KeyError:
             if len(known) > self._max_words:
                 known.clear()
-            for word in words:
-                if word not in known:
-                    known[word] = self._lean(word)
+            self._learn([w for w in dict.fromkeys(words) if w not in known])
             leans = list(map(known.__getitem__, words))
         worst = window_means(np.array(leans), self._settings.window).max() if leans else 0.0
         return float(1 / (1 + np.exp(-np.clip(worst + self._bias, -50, 50))))
 
 
+_SCORERS: dict[tuple, Scorer] = {}
+
+
+def _scorer(leans: np.ndarray, bias: float, settings: Settings) -> Scorer:
+    """The scorer of a Python worker: later tasks with the same model find the words already known."""
+    name = (zlib.crc32(leans.tobytes()), bias, settings)
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(leans, bias, settings)
+    return _SCORERS[name]
+
+
 def sample(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str, text: str, label: str) -> list[tuple[str, int]]:
     """Labelled texts for training, about ``max_docs`` of them and ``max_chars`` letters at most, chosen by a hash of the id.
 
@@ -206,7 +219,7 @@ def score(
     model = docs.sparkSession.sparkContext.broadcast(leans.astype(np.float32))  # ``buckets`` numbers, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value, bias, settings)
+        scorer = _scorer(model.value, bias, settings)
         for batch in slices(batches, "text"):
             scores = pa.array([scorer(t) for t in texts(batch, "text")], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("row"), scores], ["row", "score"])
