@@ -1,10 +1,81 @@
-"""Cleaning a corpus in stages, each an operator of ``tallymark.llm``."""
+"""Cleaning a corpus in stages, each by an operator of ``tallymark.llm``.
+
+Toxic documents go, of near-duplicates one document stays, personal data is replaced, the sources are interleaved to their
+target weights, and the rest is packed into sequences. Each stage works on all that the one before it kept. All but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallymark.llm import mixing, packing, pii, simhash, toxicity
+from tallymark.llm.frames import fresh, importable, table
+from tallymark.llm.queries import BLOCK_ROWS, DEFAULT_WEIGHT, MIX_WEIGHTS, toxicity_model, vocabulary
+from tallymark.sources.scope import scratch_root
+
+TOXIC_FROM = 0.7
+
+#: No SQL: a trained model, a 64-bit hash of shingles, spans of patterns and a dynamic programme are not expressible.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below ``TOXIC_FROM``; the model learns from labelled documents that are not held out."""
+    importable(spark)
+    settings = toxicity.Settings()
+    leans, bias = toxicity_model(docs, table(spark, sf_dir, "labels"), settings)
+    name = fresh(docs, "toxicity")
+    return toxicity.score(docs, leans, bias, settings, name=name).where(F.col(name) < TOXIC_FROM).drop(name)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked SimHash fingerprints: the one with the smallest id."""
+    importable(spark)
+    return simhash.keep_one(docs)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kind in angle brackets in place of every span of personal data; ``n_chars`` counts the new text."""
+    importable(spark)
+    found = pii.detect(docs, pii.fit(docs), redact=True)
+    counted = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return found.withColumns(counted).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order of the mix: files one after another, and rows within them."""
+    names = {n: fresh(docs, f"mix_{n}") for n in ("block", "slot", "release", "deadline", "place")}
+    placed = mixing.mix(docs, MIX_WEIGHTS, default_weight=DEFAULT_WEIGHT, block_rows=BLOCK_ROWS, names=names)
+    return placed.orderBy(names["slot"], names["place"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its ids and its place in a sequence of at most 4,096 tokens."""
+    importable(spark)
+    return packing.pack(docs.select("doc_id", "source", "text"), vocabulary("word_bpe_49k.json")).select(
+        "doc_id", "source", "piece.*"
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_duplicates", drop_near_duplicates),
+    ("personal_data", replace_personal_data),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. What each returns is written to the shared folder and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{scratch_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    for number, (name, stage) in enumerate(STAGES):
+        out = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
+    return docs
