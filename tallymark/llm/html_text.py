@@ -241,14 +241,18 @@ def best_path(page: str) -> str | None:
 
 
 def main_text(page: str, paths: dict[str, float]) -> str:
-    """Text of the elements on the most voted of ``paths`` that the page has; on its own best path if it has none."""
+    """Text of the elements on the most voted of ``paths`` that the page has; on its own best path if it has none.
+
+    Of paths with at least half the votes of the most voted one, that with the most votes times text counts.
+    """
     found = _kept(blocks(page))
     under: dict[str, list[Block]] = {}
     for block in found:
         for path in {e.path for e in ancestors(block.element)}:
             under.setdefault(path, []).append(block)
-    known = [(votes * max(1, sum(map(_worth, under[p]))), p) for p, votes in paths.items() if p in under]
-    path = max(known)[1] if known else best_path(page)
+    most = max((votes for p, votes in paths.items() if p in under), default=0.0)
+    close = [(votes * max(1, sum(map(_worth, under[p]))), p) for p, votes in paths.items() if p in under and 2 * votes >= most]
+    path = max(close)[1] if close else best_path(page)
     return "\n".join(b.text for b in under.get(path, []))
 
 
@@ -263,8 +267,8 @@ def extract(
 ) -> DataFrame:
     """``pages`` without ``page``, with its main text as ``name``; a column of that name is replaced.
 
-    Paths with at least ``least_share`` of the votes of a host win (so at most ``1 / least_share`` for each host). Of the
-    winning paths on a page the one counts that has the most votes times text there. Pages without a host vote together.
+    Paths with at least ``least_share`` of the votes of a host win (so at most ``1 / least_share`` for each host);
+    :func:`main_text` chooses among those that a page has. Pages without a host vote together.
     A null or empty page has the empty text, repeated pages vote repeatedly, and an empty table gives none. Pages of any
     length are read whole, in time proportional to their length.
     """

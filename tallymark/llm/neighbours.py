@@ -6,8 +6,9 @@ if it is, times ``alpha``, nearer to one that was kept than to the point itself)
 many is pruned again. Queries are searched by beam in every shard, and the best of all shards are kept.
 
 Inner products become distances by one more coordinate: with ``M`` the largest norm of the shard a point gets
-``sqrt(M^2 - |x|^2)`` and a query 0, so that the nearest point has the largest product. The products that are returned
-are computed in double precision on the vectors as they were given.
+``sqrt(M^2 - |x|^2)`` and a query 0, so that the nearest point has the largest product. Vectors of similar length share
+shards, so that this coordinate stays small beside the others. The products that are returned are computed in double
+precision on the vectors as they were given.
 """
 
 from __future__ import annotations
@@ -210,10 +211,15 @@ def build(rows: DataFrame, settings: Settings = Settings(), *, key: str = "vec_i
     """
     sound = rows.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     sound = sound.where(F.col("vec_id").isNotNull() & _sound("v"))
-    shards = max(1, -(-sound.count() // settings.shard_rows))
-    dealt = sound.withColumn(
-        "shard", (F.size("v").cast("long") * (1 << 32) + F.pmod(F.xxhash64("vec_id", F.lit(settings.seed)), F.lit(shards)))
-    )
+    # vectors of similar length together: a band is a factor of e^(1/4); doubles have a few thousand bands
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    band = F.floor(4 * F.greatest(F.lit(-400.0), F.least(F.lit(400.0), F.log(length))) + 0.5).cast("long") + 2048
+    sound = sound.withColumn("band", F.size("v").cast("long") * (1 << 32) + band * (1 << 18))
+    counts = sound.groupBy("band").count().collect()
+    parts = {r["band"]: -(-r["count"] // settings.shard_rows) for r in counts}
+    shards = sum(parts.values())
+    own = F.create_map(*(F.lit(x) for pair in parts.items() for x in pair))[F.col("band")] if parts else F.lit(1)
+    dealt = sound.withColumn("shard", F.col("band") + F.pmod(F.xxhash64("vec_id", F.lit(settings.seed)), own)).drop("band")
     dealt = dealt.repartition(max(shards, 2), "shard").sortWithinPartitions("shard", "vec_id", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

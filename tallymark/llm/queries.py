@@ -136,3 +136,54 @@ def op10_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.search(neighbours.build(rows), rows.where("vec_id % 20 = 0"), 20)
+
+
+_WEIGHT_SQL = "".join(f" WHEN '={source}' THEN {weight}" for source, weight in sorted(MIX_WEIGHTS.items()))
+
+SQL["op1_pfair_mix"] = f"""
+WITH RECURSIVE plain AS (
+    SELECT doc_id, source, coalesce('=' || source, 'null') AS key FROM documents
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS i FROM plain
+), sizes AS (
+    SELECT key, CAST(CASE key{_WEIGHT_SQL} ELSE {DEFAULT_WEIGHT} END AS BIGINT) AS weight,
+        CAST((count(*) + {BLOCK_ROWS - 1}) // {BLOCK_ROWS} AS BIGINT) AS n_blocks
+    FROM plain GROUP BY key
+), rounds AS (
+    SELECT DISTINCT r FROM (
+        SELECT CAST(0 AS BIGINT) AS r UNION ALL SELECT n_blocks // weight FROM sizes
+        UNION ALL SELECT n_blocks // weight + 1 FROM sizes)
+    WHERE EXISTS (SELECT 1 FROM sizes WHERE r * weight < n_blocks)
+), shares AS (
+    SELECT r, key, least(weight, n_blocks - r * weight) AS n, least(n_blocks, r * weight) AS earlier FROM rounds, sizes
+), allotted AS (
+    SELECT r, list(key ORDER BY key) FILTER (n > 0) AS keys, list(n ORDER BY key) FILTER (n > 0) AS ns,
+        CAST(sum(n) FILTER (n > 0) AS BIGINT) AS total, CAST(sum(earlier) AS BIGINT) AS first_slot
+    FROM shares GROUP BY r
+), placed AS (
+    SELECT r, keys, ns, total, first_slot, CAST(0 AS BIGINT) AS t, list_transform(ns, lambda x: CAST(0 AS BIGINT)) AS done,
+        CAST(0 AS BIGINT) AS p, CAST(0 AS BIGINT) AS j
+    FROM allotted
+    UNION ALL
+    SELECT r, keys, ns, total, first_slot, t + 1, list_transform(done, lambda d, x: d + CASE WHEN x = q THEN 1 ELSE 0 END),
+        q, done[q]
+    FROM (
+        SELECT *, list_min(list_transform(
+            list_filter(range(1, len(ns) + 1), lambda x: done[x] < ns[x] AND done[x] * total // ns[x] <= t),
+            lambda x: ((done[x] + 1) * total + ns[x] - 1) // ns[x] * 1000000 + x)) % 1000000 AS q
+        FROM placed WHERE t < total)
+), places AS (
+    SELECT r, keys[p] AS key, j, total, first_slot, t - 1 AS spot, j * total // ns[p] AS released,
+        ((j + 1) * total + ns[p] - 1) // ns[p] AS due
+    FROM placed WHERE t > 0
+), turns AS (
+    SELECT doc_id, source, key, weight, i, i // {BLOCK_ROWS} AS block, i // {BLOCK_ROWS} // weight AS turn
+    FROM numbered JOIN sizes USING (key)
+), since AS (
+    SELECT *, (SELECT max(r) FROM rounds WHERE r <= turn) AS r FROM turns
+)
+SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(first_slot + (turn - r) * total + spot AS BIGINT) AS slot,
+    CAST(first_slot + (turn - r) * total + released AS BIGINT) AS release,
+    CAST(first_slot + (turn - r) * total + due AS BIGINT) AS deadline, CAST(i % {BLOCK_ROWS} AS INTEGER) AS place
+FROM since JOIN places USING (r, key) WHERE block % weight = j
+"""
