@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,6 +21,17 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+_KEPT: dict[tuple, Any] = {}
+
+
+def kept_in_worker(name: tuple, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from one task to the next: one object at a time, whichever operator it belongs to."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

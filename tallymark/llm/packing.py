@@ -15,7 +15,6 @@ monotone queue keeps; the windows that need no padding are looked up at the plac
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections import deque
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.frames import slices, texts
+from tallymark.llm.frames import kept_in_worker, slices, texts
 from tallymark.llm.token_counts import byte_letters
 
 PIECES = (
@@ -47,7 +46,7 @@ class WordIds:
     PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9²³¹¼-¾]|[^\sa-z0-9²³¹¼-¾{_LETTERS}]+"
     PLAIN = r"[\x09-\x0d\x20-\x7e\xa1-\xac\xae-įĲ-ž‐-‧‰-⁞₠-₿]*"
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 500_000):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
@@ -85,10 +84,9 @@ class WordIds:
             return b"".join(map(known.__getitem__, words))
 
 
-@functools.lru_cache(1)
 def word_ids(path: str) -> WordIds:
-    """One table of words for each Python worker."""
-    return WordIds(path)
+    """The table of words of this Python worker."""
+    return kept_in_worker(("words", path), lambda: WordIds(path))
 
 
 def cut_places(

@@ -15,7 +15,6 @@ constant, and chunks are cut at words.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.frames import slices, texts
+from tallymark.llm.frames import kept_in_worker, slices, texts
 
 # The pattern of the pre-tokenizer, 's|'t|'re|'ve|'m|'ll|'d| ?letters| ?digits| ?others|\s+(?!\S)|\s+
 APOSTROPHE, STMD, R, V, L, E, LETTER, DIGIT, BLANK, SPACE, OTHER, RESET, UNKNOWN = range(13)
@@ -314,10 +313,9 @@ class TokenCounter:
         return np.diff(total[np.concatenate([[0], ends])]) + n_parts - 1
 
 
-@functools.lru_cache(1)
 def counter_for(path: str) -> TokenCounter:
-    """One counter for each Python worker, so that later tasks find the states already made."""
-    return TokenCounter(path)
+    """The counter of this Python worker: later tasks find the states already made."""
+    return kept_in_worker(("counter", path), lambda: TokenCounter(path))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, *, text: str = "text", name: str = "n_tokens", keep_text: bool = True) -> DataFrame:

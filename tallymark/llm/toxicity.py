@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.frames import fresh, slices, texts
+from tallymark.llm.frames import kept_in_worker, slices, texts
 
 _WORDS = re.compile(r"\w+").findall
 _LONGEST = 40  # letters of a word that count on either side of a longer one
@@ -153,7 +153,7 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
 
 
 class Scorer:
-    def __init__(self, leans: np.ndarray, bias: float, settings: Settings, max_words: int = 1_200_000):
+    def __init__(self, leans: np.ndarray, bias: float, settings: Settings, max_words: int = 400_000):
         self._leans, self._bias, self._settings = leans, bias, settings
         self._known: dict[str, float] = {}
         self._max_words = max_words
@@ -177,16 +177,10 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(worst + self._bias, -50, 50))))
 
 
-_SCORERS: dict[tuple, Scorer] = {}
-
-
 def _scorer(leans: np.ndarray, bias: float, settings: Settings) -> Scorer:
-    """The scorer of a Python worker: later tasks with the same model find the words already known."""
-    name = (zlib.crc32(leans.tobytes()), bias, settings)
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(leans, bias, settings)
-    return _SCORERS[name]
+    """The scorer of this Python worker: later tasks with the same model find the words already known."""
+    name = ("scorer", zlib.crc32(leans.tobytes()), bias, settings)
+    return kept_in_worker(name, lambda: Scorer(leans, bias, settings))
 
 
 def sample(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str, text: str, label: str) -> list[tuple[str, int]]:
