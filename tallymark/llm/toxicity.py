@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -32,8 +33,8 @@ _LONGEST = 40  # letters of a word that count on either side of a longer one
 class Settings:
     """``max_docs`` and ``max_chars`` bound the training sample: how many texts, and their letters in all."""
 
-    max_docs: int = 6_000
-    max_chars: int = 30_000_000
+    max_docs: int = 4_500
+    max_chars: int = 18_000_000
     buckets: int = 1 << 17
     dims: int = 8
     shortest: int = 3
@@ -60,18 +61,22 @@ class Vocabulary:
     """The words of the training texts, each with its subwords as rows of a ragged array."""
 
     def __init__(self, settings: Settings):
-        self._settings, self._of, self._grams = settings, {}, []
+        self._settings, self._of = settings, {}
+        self._grams, self._sizes = array("i"), array("i")
 
     def ids(self, words: Sequence[str]) -> np.ndarray:
         for word in words:
             if word not in self._of:
                 self._of[word] = len(self._of)
-                self._grams.append(np.array(subwords(word, self._settings), np.int64))
-        return np.array([self._of[w] for w in words], np.int64)
+                grams = subwords(word, self._settings)
+                self._grams.extend(grams)
+                self._sizes.append(len(grams))
+        return np.array([self._of[w] for w in words], np.int32)
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.array([len(g) for g in self._grams], np.int64)
-        return np.concatenate([[0], np.cumsum(sizes)]), np.concatenate(self._grams) if len(sizes) else np.zeros(0, np.int64)
+        """Where the subwords of each word begin, and all of them; the words themselves are forgotten."""
+        self._of.clear()
+        return np.concatenate([[0], np.cumsum(np.array(self._sizes, np.int64))]), np.array(self._grams, np.int32)
 
 
 def _ragged(offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +118,6 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
     bias = np.zeros(2)
     g_vectors, g_softmax, g_bias = np.full(settings.buckets, 1e-8), np.full((settings.dims, 2), 1e-6), np.full(2, 1e-6)
     importance = 0.5 * len(labels) / np.bincount(labels, minlength=2)
-    every_row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     left = np.zeros(0, np.int64)
     for step in range(settings.mean_steps + settings.window_steps):
         if not len(left):
@@ -122,8 +126,8 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
         own = [docs[i] for i in chosen]
         if step >= settings.mean_steps:
             if (step - settings.mean_steps) % settings.refresh == 0:
-                leans = (vectors @ (softmax[:, 1] - softmax[:, 0]))[grams]
-                leans = np.bincount(every_row, leans, len(offsets) - 1) / np.diff(offsets)
+                leans = (vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)[grams]
+                leans = np.add.reduceat(leans, offsets[:-1]) / np.diff(offsets)
             own = [_worst(doc, leans, settings.window) for doc in own]
         owner = np.repeat(np.arange(len(own)), [len(w) for w in own])
         weight = np.repeat([1 / max(len(w), 1) for w in own], [len(w) for w in own])
