@@ -19,6 +19,7 @@ from tallymark.operators.joins import totals_per_period
 from tallymark.operators.quality import require_columns
 from tallymark.operators.reconcile import bag_diff
 from tallymark.plans.session import build_session
+from tallymark.sources.catalog import partition_spec
 from tallymark.sources.readers import read_table
 from tallymark.sources.scope import held, temp_view
 from tallymark.sources.writers import append_by_name, fit_to_table, replace_partition, writing
@@ -154,21 +155,30 @@ def process_sales_data_with_validation(
 
 
 def sales_totals_sql(
-    spark: SparkSession, start: str, end: str, source: str = SOURCE, *, scale: int | None = None
+    spark: SparkSession,
+    start: str,
+    end: str,
+    source: str = SOURCE,
+    *,
+    scale: int | None = None,
+    as_text: bool | None = None,
 ) -> DataFrame:
-    """:func:`sales_totals` as SQL. Values are bound as parameters, never pasted into the text."""
+    """:func:`sales_totals` as SQL. Values are bound as parameters, never pasted into the text.
+
+    With ``scale`` SQL filters and the total is :func:`exact_sum`, which has no short form in SQL.
+    """
     text_dates = isinstance(spark.table(source).schema["sale_date"].dataType, StringType)
+    cast = "TRY_CAST" if text_dates else "CAST"
     day, low, high = (
         ("sale_date", ":start", ":end")
-        if text_dates
-        else ("CAST(sale_date AS DATE)", "CAST(:start AS DATE)", "CAST(:end AS DATE)")
-    )
-    amount = "SUM(sales)" if scale is None else f"CAST(SUM(CAST(sales AS DECIMAL(18, {int(scale)}))) AS DOUBLE)"
-    return spark.sql(
-        f"SELECT product_id, {amount} AS total_sales FROM IDENTIFIER(:source) "
-        f"WHERE {day} BETWEEN {low} AND {high} GROUP BY product_id",
-        args={"source": source, "start": start, "end": end},
+        if (text_dates if as_text is None else as_text)
+        else (f"{cast}(sale_date AS DATE)", "CAST(:start AS DATE)", "CAST(:end AS DATE)")
     )
+    args = {"source": source, "start": start, "end": end}
+    inside = f"FROM IDENTIFIER(:source) WHERE {day} BETWEEN {low} AND {high}"
+    if scale is None:
+        return spark.sql(f"SELECT product_id, SUM(sales) AS total_sales {inside} GROUP BY product_id", args=args)
+    return total_by(spark.sql(f"SELECT product_id, sales {inside}", args=args), ["product_id"], "sales", scale=scale)
 
 
 def process_sales_data_sql_approach(
@@ -179,22 +189,34 @@ def process_sales_data_sql_approach(
     source: str = SOURCE,
     summary: str = SUMMARY,
     detail: str = DETAIL,
+    scale: int | None = None,
+    as_text: bool | None = None,
+    period_column: str | None = None,
     hold: str = "checkpoint",
+    allow_narrowing: bool = False,
+    audit: AuditTrail | None = None,
 ) -> bool:
-    """The load written in SQL: totals under a session name, two ``INSERT … SELECT``, the name dropped at the end.
+    """:func:`process_sales_data` written in SQL: totals under a session name, two ``INSERT … SELECT``, the name dropped.
 
-    The name is new for each run, so that runs in one session do not meet.
+    The same options, checks before anything runs, and results. The name is new for each run, so that runs in one session
+    do not meet.
     """
     session = spark or build_session()
-    totals = sales_totals_sql(session, start_date, end_date, source)
+    totals = sales_totals_sql(session, start_date, end_date, source, scale=scale, as_text=as_text)
+    partition = {period_column: f"{start_date}/{end_date}"} if period_column else {}
+    fitted = {t: fit_to_table(totals, t, allow_narrowing=allow_narrowing, given=partition).schema for t in (summary, detail)}
+    if audit:
+        totals = audit.step(totals, "summary", n_without_total=F.count_if(F.col("total_sales").isNull()))
+    verb = "INSERT OVERWRITE" if partition else "INSERT INTO"
+    spec = partition_spec(partition) if partition else ""
     with held(totals, hold) as rows, temp_view(rows, f"temp_sales_summary_{uuid.uuid4().hex}") as name:
         for target, condition in ((summary, "TRUE"), (detail, "total_sales IS NOT NULL")):
-            insert = (
-                "INSERT INTO IDENTIFIER(:target) (product_id, total_sales) "
-                f"SELECT product_id, total_sales FROM {name} WHERE {condition}"
-            )
+            columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fitted[target])
             with writing(session, target):
-                session.sql(insert, args={"target": target})
+                session.sql(
+                    f"{verb} TABLE IDENTIFIER(:target) {spec} SELECT {columns} FROM {name} WHERE {condition}",
+                    args={"target": target},
+                )
     return True
 
 
@@ -245,9 +267,9 @@ def get_sales_statistics(
     return period_statistics(inside, "product_id", "sales", scale=scale).first().asDict()
 
 
-def get_sales_summary_stats(totals: DataFrame) -> dict[str, float] | None:
+def get_sales_summary_stats(totals: DataFrame, *, scale: int | None = None) -> dict[str, float] | None:
     """The figures of :func:`summary_statistics`, or None when there is nothing to sum up."""
-    figures = summary_statistics(totals).first()
+    figures = summary_statistics(totals, scale=scale).first()
     return figures and figures.asDict()
 
 

@@ -10,12 +10,20 @@ from tallymark.sources.catalog import (
     drop_views,
     use_database,
 )
-from tallymark.sources.readers import create_delimited_table, read_delimited, read_table, write_delimited
+from tallymark.sources.readers import (
+    accepted_rows,
+    create_delimited_table,
+    read_delimited,
+    read_table,
+    rejected_lines,
+    write_delimited,
+)
 from tallymark.sources.scope import cached, checkpointed, held, scratch_database, scratch_root, temp_view
 from tallymark.sources.writers import (
     UnsafeInsert,
     append_by_name,
     append_or_create,
+    buckets_for,
     create_empty_table,
     fit_to_table,
     replace_partition,
@@ -27,9 +35,11 @@ from tallymark.sources.writers import (
 
 __all__ = [
     "UnsafeInsert",
+    "accepted_rows",
     "add_partition",
     "append_by_name",
     "append_or_create",
+    "buckets_for",
     "cached",
     "checkpointed",
     "create_database",
@@ -44,6 +54,7 @@ __all__ = [
     "held",
     "read_delimited",
     "read_table",
+    "rejected_lines",
     "replace_partition",
     "replace_partitions",
     "scratch_database",

@@ -25,6 +25,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from tallymark.functions.size import row_bytes
 from tallymark.sources.catalog import partition_spec
 from tallymark.sources.scope import temp_view
 
@@ -179,22 +180,35 @@ def write_partitioned(
     rows.write.mode(mode).partitionBy(*by).saveAsTable(table)
 
 
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = 1) -> int:
+    """How many buckets a table needs for about ``bucket_bytes`` each; measures the rows, one number per task.
+
+    Tables that are joined on their buckets need the same number: take that of the larger one.
+    """
+    return max(least, -(-(df.agg(F.sum(row_bytes(df))).first()[0] or 0) // bucket_bytes))
+
+
 def write_bucketed(
     df: DataFrame,
     table: str,
     by: str,
-    buckets: int,
+    buckets: int | None = None,
     *,
     sort_by: str | None = None,
     mode: str = "overwrite",
-    gather: bool = False,
+    gather: bool = True,
 ) -> None:
     """Save as a bucketed table; two tables with equal bucketing join on ``by`` without a shuffle.
 
-    By default each task writes its own file per bucket, so a hot key is written in parallel. ``gather`` shuffles first
-    and leaves one file per bucket; use it where no key is hot. Choose ``buckets`` so that one bucket of the larger
-    table fits a reading task. A key that holds much of a table makes its bucket as large, and bucketed reads cannot
+    Without ``buckets`` their number follows from the size of ``df``. By default the rows of a bucket are gathered by a
+    rebalance, so that there are about as many files as buckets; adaptive execution splits it where a key is hot, so a
+    hot bucket is written by several tasks. ``gather=False`` shuffles nothing, and each task writes its own file per
+    bucket: only for few tasks. A key that holds much of a table makes its bucket as large, and bucketed reads cannot
     split it: join such tables by the plain join, which adaptive execution splits.
     """
-    rows = df.repartition(buckets, by) if gather else df
+    buckets = buckets or buckets_for(df)
+    rows = df.hint("rebalance", buckets, by) if gather else df
     rows.write.mode(mode).bucketBy(buckets, by).sortBy(sort_by or by).saveAsTable(table)
