@@ -8,6 +8,7 @@ which the tables have none, are made the same way.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 from collections.abc import Callable
 
@@ -19,7 +20,7 @@ from tallymark.functions.text import register_reverse_string
 from tallymark.operators import aggregates, filters, joins, quality, reconcile
 from tallymark.operators.audit import AuditTrail
 from tallymark.plans import retail, sales
-from tallymark.sources import readers, scope, writers
+from tallymark.sources import catalog, readers, scope, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -233,16 +234,25 @@ def sales_job_optimized(spark, sf_dir):
 
 @query(_DETAIL)
 def sales_job_sql(spark, sf_dir):
-    targets = {role: scratch(spark, sf_dir, f"job_sql_{role}") for role in ("summary", "detail")}
-    for target in targets.values():
-        writers.create_empty_table(spark, target, DETAIL_SCHEMA)
-    # the SQL form sums what the source holds, so the source holds decimals
-    exact = lines_with_nulls(spark, sf_dir).withColumn("sales", F.col("sales").cast("decimal(18,2)"))
-    with scope.temp_view(exact, "sales_for_sql") as source:
-        sales.process_sales_data_sql_approach(*Q1_1998, spark, source=source, **targets)
+    with scope.temp_view(lines_with_nulls(spark, sf_dir), "sales_for_sql") as source:
+        targets = _load(spark, sf_dir, "job_sql", source, sales.process_sales_data_sql_approach)
     return readers.read_table(spark, targets["detail"])
 
 
+@query(_SUMMARY_NULLS)
+def sales_job_sql_summary(spark, sf_dir):
+    with scope.temp_view(lines_with_nulls(spark, sf_dir), "sales_for_sql_summary") as source:
+        targets = _load(spark, sf_dir, "job_sql_2", source, sales.process_sales_data_sql_approach)
+    return readers.read_table(spark, targets["summary"])
+
+
+@query(_SUMMARY_NULLS)
+def sales_job_function(spark, sf_dir):
+    with scope.temp_view(lines_with_nulls(spark, sf_dir), "sales_for_function") as source:
+        targets = _load(spark, sf_dir, "job_function", source, sales.process_sales_data_function)
+    return readers.read_table(spark, targets["summary"])
+
+
 @query(
     f"""WITH t AS ({_SUMMARY_NULLS}) SELECT product_id, total_sales FROM t WHERE product_id <
     (SELECT COALESCE(MIN(CASE WHEN total_sales IS NULL THEN product_id END), 9223372036854775807) FROM t)"""
@@ -308,7 +318,7 @@ def period_stats(spark, sf_dir):
     FROM (SELECT product_id, CAST(total_sales AS DECIMAL(18,2)) AS s FROM ({_SUMMARY_NULLS}) u) t"""
 )
 def summary_stats(spark, sf_dir):
-    return aggregates.summary_statistics(totals_with_nulls(spark, sf_dir), round_to=2)
+    return aggregates.summary_statistics(totals_with_nulls(spark, sf_dir), scale=2, round_to=2)
 
 
 @query("SELECT DISTINCT l_partkey FROM lineitem")
@@ -370,11 +380,13 @@ def customer_orders_lookup(spark, sf_dir):
 
 @query(_CUSTOMER_ORDERS)
 def customer_orders_bucketed(spark, sf_dir):
-    names = {}
+    names, frames = {}, {}
     for name, frame in (("customers", customers(spark, sf_dir)), ("orders", orders(spark, sf_dir))):
         names[name] = scratch(spark, sf_dir, f"bucketed_{name}")
-        wanted = frame.select("customer_id", *(c for c in _SHOWN if c in frame.columns))
-        writers.write_bucketed(wanted, names[name], "customer_id", retail.TRANSACTION_BUCKETS)
+        frames[name] = frame.select("customer_id", *(c for c in _SHOWN if c in frame.columns))
+    buckets = writers.buckets_for(frames["orders"], bucket_bytes=1024 * 1024)
+    for name, frame in frames.items():
+        writers.write_bucketed(frame, names[name], "customer_id", buckets)
     return retail.customer_orders(spark.table(names["customers"]), spark.table(names["orders"]), *_SHOWN)
 
 
@@ -389,6 +401,37 @@ def delimited_orders(spark, sf_dir):
     return readers.read_table(spark, name)
 
 
+def delimited_copy(spark, sf_dir, name: str) -> DataFrame:
+    """A table written as delimited text and read again."""
+    path = f"{scope.scratch_root(spark)}/delimited-{name}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
+    readers.write_delimited(table(spark, sf_dir, name), path, mode="overwrite")
+    return readers.read_delimited(spark, path, SCHEMAS[name])
+
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def delimited_documents(spark, sf_dir):
+    return delimited_copy(spark, sf_dir, "documents")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def delimited_moments(spark, sf_dir):
+    return delimited_copy(spark, sf_dir, "orders")
+
+
+@query(
+    """SELECT o_orderkey AS k, o_orderpriority || ',' || CASE WHEN o_orderstatus = 'F' THEN 'none'
+    ELSE CAST(o_orderkey AS VARCHAR) END AS rest FROM orders WHERE o_orderstatus = 'F'"""
+)
+def delimited_rejects(spark, sf_dir):
+    # of orders of one status the number is a word, so their lines do not fit
+    path = f"{scope.scratch_root(spark)}/rejects-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
+    number = F.when(F.col("o_orderstatus") == "F", "none").otherwise(F.col("o_orderkey").cast("string"))
+    lines = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", number.alias("n"))
+    readers.write_delimited(lines, path, mode="overwrite")
+    rejected = readers.rejected_lines(spark, path, "k bigint, priority string, n bigint")
+    return rejected.select("k", F.expr("substring(_rejected, instr(_rejected, ',') + 1)").alias("rest"))
+
+
 @query(f"SELECT o_orderkey AS sale_id, o_totalprice AS sale_amount, {_REGION} AS region FROM orders")
 def sales_with_region(spark, sf_dir):
     return retail.sales_rows(transactions(spark, sf_dir)).select("sale_id", "sale_amount", "region")
@@ -488,7 +531,7 @@ def null_safe_full_join(spark, sf_dir):
 def aggregate_diff(spark, sf_dir):
     left = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("v"))
     right = left.withColumn("v", F.when(F.col("priority") == "5-LOW", F.col("v") + 1).otherwise(F.col("v")))
-    return reconcile.aggregate_diff(left, right, ["priority"], "v").select(
+    return reconcile.aggregate_diff(left, right, ["priority"], "v", scale=2).select(
         "priority", "left_total", "right_total", "status"
     )
 
@@ -506,7 +549,7 @@ def order_totals_against_lines(spark, sf_dir):
     details = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").alias("v")
     )
-    return reconcile.aggregate_diff(heads, details, ["order_id"], "v").drop("abs_diff")
+    return reconcile.aggregate_diff(heads, details, ["order_id"], "v", tolerance=0.01, scale=2).drop("abs_diff")
 
 
 @query(
@@ -574,6 +617,7 @@ def completeness(spark, sf_dir):
         inside,
         {"out_of_range": ~inside, "null_date": F.col("sale_date").isNull()},
         amount="sales",
+        scale=2,
     )
     amounts = [F.col(c).cast("double").alias(c) for c in ("amount_in", "amount_kept", "amount_out_of_range")]
     return totals.select("rows_in", "rows_kept", "rows_out_of_range", "rows_null_date", *amounts, "balanced")
@@ -625,13 +669,13 @@ def null_profile(spark, sf_dir):
     FROM part"""
 )
 def column_profile(spark, sf_dir):
-    return quality.column_profile(table(spark, sf_dir, "part"), "p_retailprice")
+    return quality.column_profile(table(spark, sf_dir, "part"), "p_retailprice", scale=2)
 
 
 def _profile_sql(source: str, columns: dict[str, bool]) -> str:
     parts = (
         f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_nulls, "
-        f"CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value, "
+        f"COUNT(DISTINCT {c}) AS n_distinct, CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value, "
         f"{f'ROUND(AVG({c}), 4)' if numeric else 'CAST(NULL AS DOUBLE)'} AS mean_value FROM {source}"
         for c, numeric in columns.items()
     )
@@ -644,9 +688,8 @@ def _profile_sql(source: str, columns: dict[str, bool]) -> str:
     )
 )
 def table_profile(spark, sf_dir):
-    profile = quality.table_profile(table(spark, sf_dir, "customer"))
-    # the distinct values are estimates, which SQL cannot confirm
-    return profile.drop("n_distinct").withColumn("mean_value", F.round("mean_value", 4))
+    profile = quality.table_profile(table(spark, sf_dir, "customer"), exact=True)
+    return profile.withColumn("mean_value", F.round("mean_value", 4))
 
 
 @query("SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1")
@@ -781,6 +824,197 @@ def audit_trail(spark, sf_dir):
     return trail.rows().select("step", F.col("value").cast("long").alias("n_rows"))
 
 
+_SLIDING = """SELECT range_id, l_suppkey AS product_id, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+FROM ({periods}) p JOIN lineitem ON CAST(l_shipdate AS DATE) BETWEEN s AND e GROUP BY range_id, l_suppkey"""
+
+
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines(spark, sf_dir, product=F.col("l_suppkey"))
+
+
+@query(
+    _SLIDING.format(
+        periods="""SELECT CAST(i AS INTEGER) AS range_id, CAST(DATE '1998-01-01' + CAST(i AS INTEGER) AS DATE) AS s,
+        CAST(DATE '1998-01-01' + CAST(i AS INTEGER) + 89 AS DATE) AS e FROM range(365) t(i)"""
+    )
+)
+def sliding_periods(spark, sf_dir):
+    first = datetime.date(1998, 1, 1)
+    starts = [first + datetime.timedelta(days=i) for i in range(365)]
+    periods = [(i, s, s + datetime.timedelta(days=89)) for i, s in enumerate(starts)]
+    return sales.sales_totals_per_period(supplier_lines(spark, sf_dir), sales.periods_frame(spark, periods), scale=2)
+
+
+@query(
+    _SLIDING.format(
+        periods="""SELECT * FROM (VALUES (1, DATE '1998-01-01', DATE '1998-02-28'), (1, DATE '1998-06-01', DATE '1998-06-30'),
+        (2, DATE '1998-02-01', DATE '1998-06-15'), (3, DATE '1998-03-01', DATE '1998-02-01')) t(range_id, s, e)"""
+    )
+)
+def one_id_in_several_periods(spark, sf_dir):
+    periods = [
+        (1, "1998-01-01", "1998-02-28"),
+        (1, "1998-06-01", "1998-06-30"),
+        (2, "1998-02-01", "1998-06-15"),
+        (3, "1998-03-01", "1998-02-01"),
+    ]
+    return sales.sales_totals_per_period(supplier_lines(spark, sf_dir), sales.periods_frame(spark, periods), scale=2)
+
+
+# --- values of many digits, nested values, catalog operators ----------------------------------------------------------
+
+# The true product has six digits; in a double its last digits are noise, which rounding to six takes away.
+_FINE = "CAST(ROUND(l_extendedprice * l_discount * l_tax, 6) AS DECIMAL(18,6))"
+
+
+def fine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    product = F.round(F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax"), 6)
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("k"), F.col("l_returnflag").alias("flag"), product.alias("v")
+    )
+
+
+@query(f"SELECT l_partkey AS k, CAST(SUM({_FINE}) AS DOUBLE) AS total FROM lineitem GROUP BY l_partkey")
+def fine_totals(spark, sf_dir):
+    return aggregates.total_by(fine_lines(spark, sf_dir), ["k"], "v", name="total", scale=6)
+
+
+@query(
+    f"""SELECT l_returnflag AS flag, CAST(SUM({_FINE}) AS DOUBLE) AS left_total,
+    CAST(SUM({_FINE} + CASE WHEN l_returnflag = 'R' THEN 0.000001 ELSE 0 END) AS DOUBLE) AS right_total,
+    CASE WHEN l_returnflag = 'R' THEN 'mismatch' ELSE 'match' END AS status FROM lineitem GROUP BY l_returnflag"""
+)
+def fine_aggregate_diff(spark, sf_dir):
+    left = fine_lines(spark, sf_dir)
+    right = left.withColumn("v", F.when(F.col("flag") == "R", F.round(F.col("v") + 0.000001, 6)).otherwise(F.col("v")))
+    found = reconcile.aggregate_diff(left, right, ["flag"], "v", scale=6)
+    return found.select("flag", "left_total", "right_total", "status")
+
+
+@query(
+    f"""WITH t AS (SELECT CAST(SUM({_FINE}) AS DOUBLE) AS s FROM lineitem GROUP BY l_partkey)
+    SELECT CAST(SUM(CAST(ROUND(s, 6) AS DECIMAL(28,6))) AS DOUBLE) AS grand_total, MAX(s) AS max_sales,
+    MIN(s) AS min_sales, COUNT(*) AS total_products FROM t"""
+)
+def fine_summary_stats(spark, sf_dir):
+    totals = aggregates.total_by(fine_lines(spark, sf_dir), ["k"], "v", scale=6)
+    return aggregates.summary_statistics(totals, scale=6).drop("avg_sales")
+
+
+@query(
+    f"""SELECT COUNT(*) AS rows_in, CAST(COUNT(*) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS rows_kept,
+    CAST(SUM({_FINE}) AS DOUBLE) AS amount_in,
+    CAST(SUM({_FINE}) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS amount_kept, TRUE AS balanced FROM lineitem"""
+)
+def fine_completeness(spark, sf_dir):
+    kept = F.col("flag") == "R"
+    totals = reconcile.completeness(fine_lines(spark, sf_dir), kept, {"others": ~kept}, amount="v", scale=6)
+    return totals.select("rows_in", "rows_kept", "amount_in", "amount_kept", "balanced")
+
+
+@query(
+    f"""SELECT 'total' AS check_name, CAST(SUM({_FINE}) AS DOUBLE) AS left_value,
+    CAST(SUM({_FINE}) + 0.000001 * COUNT(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS right_value, 'fail' AS status
+    FROM lineitem"""
+)
+def fine_report(spark, sf_dir):
+    left = fine_lines(spark, sf_dir).withColumnRenamed("k", "l_partkey")
+    right = left.withColumn("v", F.when(F.col("flag") == "R", F.round(F.col("v") + 0.000001, 6)).otherwise(F.col("v")))
+    lines = reconcile.report(left, right, ["l_partkey"], value="v", scale=6).filter("check_name = 'total'")
+    values = [F.col(c).cast("double").alias(c) for c in ("left_value", "right_value")]
+    return lines.select("check_name", *values, "status")
+
+
+@query(
+    """SELECT o_orderpriority AS priority, SUM(CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+        THEN CAST('nan' AS DOUBLE) WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN CAST('inf' AS DOUBLE)
+        ELSE CAST(o_custkey AS DOUBLE) END) AS total FROM orders GROUP BY o_orderpriority"""
+)
+def totals_with_nan_and_infinity(spark, sf_dir):
+    odd = F.when(F.col("o_orderpriority") == "1-URGENT", float("nan")).when(
+        F.col("o_orderpriority") == "5-LOW", float("inf")
+    )
+    value = F.coalesce(F.when(F.col("o_orderstatus") == "F", odd), F.col("o_custkey").cast("double"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"), value.alias("v"))
+    return aggregates.total_by(rows, ["priority"], "v", name="total", scale=2)
+
+
+@query(
+    """SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'changed' ELSE 'same' END
+    AS status FROM orders"""
+)
+def keyed_diff_nested(spark, sf_dir):
+    # the second version has the same values in another place of the array
+    rows = table(spark, sf_dir, "orders")
+    price, none = F.col("o_totalprice"), F.lit(None).cast("double")
+    moved = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    left = rows.select(F.col("o_orderkey").alias("k"), F.array(F.array(price, none), F.array(price)).alias("a"))
+    right = rows.select(
+        F.col("o_orderkey").alias("k"),
+        F.when(moved, F.array(F.array(none, price), F.array(price)))
+        .otherwise(F.array(F.array(price, none), F.array(price)))
+        .alias("a"),
+    )
+    return reconcile.keyed_diff(left, right, ["k"]).select("k", "status")
+
+
+@query(
+    """SELECT COALESCE(a.column_name, b.column_name) AS column_name, CASE WHEN b.column_name IS NULL THEN 'only_left'
+    WHEN a.column_name IS NULL THEN 'only_right' WHEN a.data_type = b.data_type THEN 'same' ELSE 'type_changed' END AS status
+    FROM (SELECT column_name, data_type FROM duckdb_columns() WHERE table_name = 'documents') a
+    FULL JOIN (SELECT column_name, data_type FROM duckdb_columns() WHERE table_name = 'conversations') b USING (column_name)"""
+)
+def schema_diff(spark, sf_dir):
+    sides = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "conversations"))
+    return reconcile.schema_diff(*sides).select("column_name", "status")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def appended_or_created(spark, sf_dir):
+    name = scratch(spark, sf_dir, "appended")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for part in (F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"):
+        writers.append_or_create(rows.filter(part), name)
+    return readers.read_table(spark, name)
+
+
+@query("SELECT o_orderkey, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F'")
+def added_partition(spark, sf_dir):
+    name = scratch(spark, sf_dir, "added_partition")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (o_orderkey bigint, status string) USING parquet PARTITIONED BY (status)")
+    catalog.add_partition(spark, name, status="F")
+    rows = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select("o_orderkey")
+    writers.replace_partition(rows, name, status="F")
+    return readers.read_table(spark, name)
+
+
+@query(
+    """SELECT c_name AS customer_name, COUNT(o_orderkey) AS total_orders FROM customer JOIN orders ON c_custkey = o_custkey
+    GROUP BY c_name HAVING COUNT(o_orderkey) > 1"""
+)
+def retail_job_view(spark, sf_dir):
+    database = f"tallymark_retail_{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
+    before = spark.catalog.currentDatabase()
+    catalog.create_database(spark, database, f"{scope.scratch_root(spark)}/{database}")
+    retail.drop_all(spark, database)
+    retail.create_tables(spark, database, f"{scope.scratch_root(spark)}/{database}")
+    try:
+        none = F.lit(None)
+        rows = customers(spark, sf_dir).withColumns(
+            {f"customer_{c}": none.cast("string") for c in ("email", "city", "state")} | {"customer_zipcode": none.cast("int")}
+        )
+        writers.append_by_name(rows.select(*spark.table("customers").columns), "customers", allow_narrowing=True)
+        rows = orders(spark, sf_dir).withColumn("order_date", F.col("o_orderdate").cast("date").cast("string"))
+        writers.append_by_name(rows.select(*spark.table("orders").columns), "orders", allow_narrowing=True)
+        days = transactions(spark, sf_dir).withColumn("transaction_id", F.col("transaction_id").cast("int"))
+        retail.run(spark, days, database)
+        return readers.read_table(spark, f"{database}.frequent_customers")
+    finally:
+        catalog.use_database(spark, before)
+
+
 # --- operators of a training-data pipeline, if they are there ---------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 
 def values_match(left: Column, right: Column, tolerance: float = 0.0) -> Column:
@@ -31,10 +32,30 @@ def changed_columns(pairs: Mapping[str, tuple[Column, Column]], tolerances: Mapp
     )
 
 
-def row_fingerprint(columns: Sequence[str], seed: int = 0) -> Column:
-    """64-bit hash of the named columns.
+def row_fingerprint(schema: StructType, columns: Sequence[str], seed: int = 0) -> Column:
+    """64-bit hash of the named columns of a row of ``schema``.
 
-    Spark's hash skips NULLs, so (NULL, 1) and (1, NULL) would collide; the NULL pattern is hashed as well.
+    Spark's hash skips NULLs, so (NULL, 1) and (1, NULL) would collide, inside arrays and structs as well, and it does not
+    see where one nested array ends. So the NULL pattern of the columns is hashed too, and nested values level by level.
     """
-    nulls = [F.col(c).isNull() for c in columns]
-    return F.xxhash64(F.lit(seed), *nulls, *(F.col(c) for c in columns))
+    nulls = [F.col(f"`{c}`").isNull() for c in columns]
+    return F.xxhash64(F.lit(seed), *nulls, *(_hashable(F.col(f"`{c}`"), schema[c].dataType, seed) for c in columns))
+
+
+def _hashable(value: Column, kind: DataType, seed: int) -> Column:
+    """``value`` itself, or for a nested one a text of hashes in which NULLs, borders and sizes show."""
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _one(x, kind.elementType, seed)).cast("string")
+    if isinstance(kind, StructType):
+        parts = (_one(value.getField(f.name), f.dataType, seed) for f in kind)
+        return F.when(value.isNotNull(), F.array(*parts).cast("string"))
+    if isinstance(kind, MapType):
+        entry = StructType([StructField("key", kind.keyType), StructField("value", kind.valueType)])
+        entries = F.transform(F.map_entries(value), lambda x: _one(x, entry, seed))
+        return F.array_sort(entries).cast("string")
+    return value
+
+
+def _one(value: Column, kind: DataType, seed: int) -> Column:
+    """Hash of one value inside another; a NULL has none."""
+    return F.when(value.isNotNull(), F.xxhash64(F.lit(seed), _hashable(value, kind, seed)))

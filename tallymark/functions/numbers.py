@@ -11,10 +11,27 @@ def safe_number(value: Column, to: str = "double") -> Column:
     return value.try_cast(to)
 
 
-def exact_sum(value: Column, scale: int = 2, precision: int = 18) -> Column:
-    """Decimal sum of ``value`` kept to ``scale`` digits: the same for every order of rows and partitions.
+def exact_sum(value: Column, scale: int = 2) -> Column:
+    """Sum of ``value`` through decimals of ``scale`` digits, as a double: the same for every order of the rows.
 
-    Up to 18 digits a value is kept as one long; ask for up to 38 where single values are larger.
-    A value that does not fit raises instead of becoming NULL.
+    No value is cut: one with more digits than ``scale`` or beyond 38 digits raises. What a double cannot tell from a
+    number of ``scale`` digits (a relative distance of 1e-13, of 2e-7 for FLOAT) counts as one. NaN and Infinity make the
+    sum what a plain sum makes of it. Values up to 18 digits are summed as longs.
     """
-    return F.sum(value.cast(f"decimal({precision},{scale})"))
+    number = value.cast("double")
+    finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
+    small = F.abs(number) < F.lit(10.0 ** (17 - scale))
+    plain = F.sum(F.when(finite & small, kept_decimal(value, scale)))
+    large = F.sum(F.when(finite & ~small, kept_decimal(value, scale, 38)))
+    plain, large = plain.cast("double"), large.cast("double")
+    return F.coalesce(F.sum(F.when(~finite, number)), plain + large, plain, large)
+
+
+def kept_decimal(value: Column, scale: int, precision: int = 18) -> Column:
+    """``value`` as a decimal; raises where that would change it (NaN and Infinity included), as in :func:`exact_sum`."""
+    kind = f"decimal({precision},{scale})"
+    number, rounded = value.cast("double"), value.try_cast(kind)
+    slack = F.when(F.typeof(value) == "float", 2e-7).otherwise(1e-13)
+    same = F.abs(rounded.cast("double") - number) <= slack * F.abs(number)
+    lost = F.raise_error(F.concat(F.lit("value is not kept by "), F.lit(kind), F.lit(": "), value.cast("string")))
+    return F.when(F.coalesce(same, value.isNull()), rounded).otherwise(lost.cast(kind))

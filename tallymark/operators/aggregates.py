@@ -11,7 +11,7 @@ from tallymark.functions.numbers import exact_sum
 
 
 def _sum(value: str, scale: int | None) -> Column:
-    return F.sum(value) if scale is None else exact_sum(F.col(value), scale).cast("double")
+    return F.sum(value) if scale is None else exact_sum(F.col(value), scale)
 
 
 def total_by(
@@ -19,7 +19,7 @@ def total_by(
 ) -> DataFrame:
     """Sum of ``value`` per key. NULL values are ignored, an all-NULL group sums to NULL, NULL keys form one group.
 
-    With ``scale`` the sum runs in decimals, so it does not depend on the order of the rows.
+    With ``scale`` the sum runs in decimals (:func:`exact_sum`), so it does not depend on the order of the rows.
     """
     return df.groupBy(*keys).agg(_sum(value, scale).alias(name))
 
@@ -59,18 +59,18 @@ def period_statistics(df: DataFrame, key: str, value: str, *, scale: int | None
 
 
 def summary_statistics(
-    totals: DataFrame, value: str = "total_sales", *, scale: int = 2, round_to: int | None = None
+    totals: DataFrame, value: str = "total_sales", *, scale: int | None = None, round_to: int | None = None
 ) -> DataFrame:
     """Grand total, extremes and mean over per-key totals, plus the number of keys (NULL totals included).
 
-    No row when there is nothing to sum up.
+    No row when there is nothing to sum up. ``scale`` makes the sum independent of the order of the rows.
     """
-    number = F.col(value).cast(f"decimal(28,{scale})")
-    mean = F.sum(number).cast("double") / F.count(number)
+    grand = _sum(value, scale).cast("double")
+    mean = grand / F.nullif(F.count(value), F.lit(0))
     return totals.agg(
-        F.sum(number).cast("double").alias("grand_total"),
-        F.max(number).cast("double").alias("max_sales"),
-        F.min(number).cast("double").alias("min_sales"),
+        grand.alias("grand_total"),
+        F.max(value).cast("double").alias("max_sales"),
+        F.min(value).cast("double").alias("min_sales"),
         (mean if round_to is None else F.round(mean, round_to)).alias("avg_sales"),
         F.count("*").alias("total_products"),
     ).filter(F.col("grand_total").isNotNull())

@@ -24,11 +24,21 @@ def period_condition(moment: Column, start: Day, end: Day, *, as_text: bool = Fa
     return to_day(moment).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
-def in_period(df: DataFrame, column: str, start: Day, end: Day, *, as_text: bool | None = None) -> DataFrame:
-    """Rows of the period. A STRING column is compared as text unless ``as_text=False`` asks for dates."""
+def in_period(
+    df: DataFrame, column: str, start: Day, end: Day, *, as_text: bool | None = None, strict: bool = False
+) -> DataFrame:
+    """Rows of the period. A STRING column is compared as text unless ``as_text=False`` asks for dates.
+
+    A text that is no date then matches no period, as a NULL does (:func:`tallymark.operators.quality.date_conformity`
+    counts such rows); with ``strict`` it raises.
+    """
+    is_text = isinstance(df.schema[column].dataType, StringType)
     if as_text is None:
-        as_text = isinstance(df.schema[column].dataType, StringType)
-    return df.filter(period_condition(F.col(column), start, end, as_text=as_text))
+        as_text = is_text
+    moment = F.col(column)
+    if is_text and not as_text and not strict:
+        moment = moment.try_cast("date")
+    return df.filter(period_condition(moment, start, end, as_text=as_text))
 
 
 def on_day(df: DataFrame, column: str, day: Day, *, as_text: bool | None = None) -> DataFrame:

@@ -10,32 +10,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
+from tallymark.functions.numbers import kept_decimal
+from tallymark.functions.size import row_bytes
 from tallymark.operators.audit import counted
 from tallymark.sources.scope import checkpointed
 
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_PERIODS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """Size of a row: the length of its texts and nested values, and a fixed width per column."""
-
-    def varying(field: StructField) -> Column | None:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            return F.octet_length(column)
-        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
-            return F.octet_length(F.to_json(F.struct(column)))
-        return None
-
-    lengths = (F.coalesce(c, F.lit(0)).cast("long") for c in map(varying, df.schema) if c is not None)
-    return reduce(lambda a, b: a + b, lengths, F.lit(16 * len(df.columns)).cast("long"))
-
-
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
@@ -112,10 +99,12 @@ def full_outer_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str])
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Rows of ``child`` whose key is missing in ``parent``. A NULL key refers to nothing and is no orphan.
 
-    Parent keys are made distinct first: adaptive execution can split a hot key of the child, but not one of the parent.
-    The join uses the same partitioning, so this costs no further shuffle.
+    Parent keys are made distinct first and kept in the shared folder: adaptive execution splits a hot key of the child
+    only where nothing below the join depends on its partitioning, and it could not split one of the parent. Measured
+    while they are written, the keys are broadcast if few.
     """
-    parents = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
+    keys = parent.select(F.col(parent_key).alias("_parent_key"))
+    parents = checkpointed_lookup(keys.filter(F.col("_parent_key").isNotNull()).distinct())
     linked = child.filter(F.col(child_key).isNotNull())
     return linked.join(parents, F.col(child_key) == F.col("_parent_key"), "left_anti")
 
@@ -141,6 +130,11 @@ def totals_per_period(
 ) -> DataFrame:
     """Sum of ``value`` per period and key for many, possibly overlapping, periods in one read of ``df``.
 
+    With ``scale`` rows are summed per key and day, and a period is the difference of two running totals of its key, at
+    its last day and before its first: a key then has as many rows as days and twice as many as periods, however much
+    the periods overlap. Differences of running totals are exact for decimals only. Without ``scale``, and for more than
+    ``MAX_PERIODS`` periods, rows meet the periods day by day instead, as follows.
+
     A range condition has no key to hash on and would compare every row with every period, so rows meet the periods by
     equality on the day. Days that lie in the same periods form one segment: each row is told its segment by a broadcast
     of the days, rows are summed per key and segment before and after one shuffle, and only these few sums are copied to
@@ -153,13 +147,18 @@ def totals_per_period(
         F.max(end).cast("date").alias("last"),
         F.coalesce(F.sum(n_days), F.lit(0)).alias("n_pairs"),
         F.coalesce(F.sum(n_days * row_bytes(periods.select(range_id, start))), F.lit(0)).alias("n_bytes"),
+        F.count("*").alias("n_periods"),
     ).first()
     day = F.col(date).cast("date")
     # decimal sums stay decimal until the end, so that both steps are exact
-    amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
+    amount = F.col(value) if scale is None else kept_decimal(F.col(value), scale)
     rows = df.filter(day.between(F.lit(about["first"]), F.lit(about["last"]))).select(
         *keys, day.alias("day"), amount.alias("_amount")
     )
+    if scale is not None and about.n_periods <= MAX_PERIODS:
+        found = periods.filter(F.col(start) <= F.col(end))
+        found = found.select(range_id, F.col(start).cast("date").alias("s"), F.col(end).cast("date").alias("e"))
+        return _by_running_totals(rows, found, keys, range_id, name)
     pairs = days_of_periods(periods, range_id, start, end)
     if about.n_pairs <= MAX_BROADCAST_ROWS and about.n_bytes <= MAX_BROADCAST_BYTES:
         segments = _segments(pairs, range_id)
@@ -172,6 +171,31 @@ def totals_per_period(
     return parts.groupBy(range_id, *keys).agg(total.alias(name))
 
 
+def _by_running_totals(rows: DataFrame, periods: DataFrame, keys: Sequence[str], range_id: str, name: str) -> DataFrame:
+    """Totals of ``rows`` (keys, ``day``, ``_amount``) per period (``s``, ``e``) as differences of running totals."""
+    borders = F.array(
+        F.struct(F.col(range_id), F.col("e").alias("at"), F.lit(1).alias("sign")),
+        F.struct(F.col(range_id), F.date_sub("s", 1).alias("at"), F.lit(-1).alias("sign")),
+    )
+    all_borders = periods.agg(F.flatten(F.collect_list(borders))).scalar()
+    parts = rows.groupBy(*keys, "day").agg(
+        F.sum("_amount").alias("_sum"), F.count("*").alias("_rows"), F.count("_amount").alias("_values")
+    )
+    asked = parts.select(*keys).distinct().withColumn("_border", F.explode(all_borders))
+    asked = asked.select(*keys, F.col("_border.at").alias("day"), F.col("_border").alias("_border"))
+    ordered = Window.partitionBy(*keys).orderBy("day", F.col("_border").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    running = {c: F.sum(c).over(ordered) for c in ("_sum", "_rows", "_values")}
+    at_borders = parts.unionByName(asked, allowMissingColumns=True).withColumns(running).filter("_border is not null")
+    sign = F.col("_border.sign")
+    totals = at_borders.groupBy(*keys, F.col(f"_border.{range_id}").alias(range_id)).agg(
+        *(F.sum(F.coalesce(c, F.lit(0)) * sign).alias(c) for c in ("_sum", "_rows", "_values"))
+    )
+    total = F.when(F.col("_values") > 0, F.col("_sum").cast("double"))
+    return totals.filter(F.col("_rows") > 0).select(range_id, *keys, total.alias(name))
+
+
 def _segments(pairs: DataFrame, range_id: str) -> DataFrame:
     """``ranges, days, segment``: the days that lie in exactly these periods, named by the first of them.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallymark.functions.dates import is_iso_date
-from tallymark.functions.numbers import safe_number
+from tallymark.functions.numbers import exact_sum, safe_number
 from tallymark.functions.text import is_multibyte, words_in
 from tallymark.operators.joins import checkpointed_lookup, same_keys
 
@@ -39,13 +39,15 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return nulls.unpivot("n_rows", columns, "column_name", "n_nulls").select("column_name", "n_rows", "n_nulls")
 
 
-def column_profile(df: DataFrame, column: str, *, exact: bool = True, scale: int = 2, round_to: int = 4) -> DataFrame:
+def column_profile(df: DataFrame, column: str, *, exact: bool = True, scale: int | None = None, round_to: int = 4) -> DataFrame:
     """One row: values, distinct values, extremes and mean of a numeric column.
 
-    ``exact=False`` estimates the distinct values, which saves a shuffle of all of them on large tables.
+    ``exact=False`` estimates the distinct values, which saves a shuffle of all of them on large tables. ``scale`` makes
+    the mean independent of the order of the rows.
     """
     value = F.col(column)
-    mean = F.sum(value.cast(f"decimal(18,{scale})")).cast("double") / F.nullif(F.count(value), F.lit(0))
+    total = F.sum(value) if scale is None else exact_sum(value, scale)
+    mean = total.cast("double") / F.nullif(F.count(value), F.lit(0))
     return df.agg(
         F.count(value).alias("n"),
         (F.count_distinct(value) if exact else F.approx_count_distinct(value)).alias("n_distinct"),
@@ -55,10 +57,11 @@ def column_profile(df: DataFrame, column: str, *, exact: bool = True, scale: int
     )
 
 
-def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: rows, NULLs, estimated distinct values, extremes (as text) and the mean where numeric.
+def table_profile(df: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = False) -> DataFrame:
+    """One row per column: rows, NULLs, distinct values, extremes (as text) and the mean where numeric.
 
-    One pass and one row per task through the shuffle, whatever the number of columns.
+    One pass and one row per task through the shuffle, whatever the number of columns. The distinct values are estimates
+    then; ``exact`` counts them, which shuffles each distinct value of each column.
     """
     columns = list(columns or df.columns)
     numeric = ("byte", "short", "integer", "long", "float", "double", "decimal")
@@ -69,7 +72,7 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         return F.struct(
             F.count("*").alias("n_rows"),
             F.count_if(value.isNull()).alias("n_nulls"),
-            F.approx_count_distinct(value).alias("n_distinct"),
+            (F.count_distinct(value) if exact else F.approx_count_distinct(value)).alias("n_distinct"),
             F.min(value).cast("string").alias("min_value"),
             F.max(value).cast("string").alias("max_value"),
             (F.avg(value).cast("double") if is_number else F.lit(None).cast("double")).alias("mean_value"),

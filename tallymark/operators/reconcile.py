@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from tallymark.functions.compare import changed_columns, row_fingerprint, values_match
+from tallymark.functions.numbers import exact_sum
 from tallymark.operators.audit import counted
 from tallymark.operators.filters import Day, period_condition
-from tallymark.operators.joins import broadcast_within, row_bytes, same_keys
+from tallymark.functions.size import row_bytes
+from tallymark.operators.joins import broadcast_within, same_keys
 from tallymark.operators.quality import require_columns
 from tallymark.sources.scope import checkpointed
 
@@ -43,6 +45,10 @@ def _side(is_left: bool, value: Column) -> Column:
     return F.when(side if is_left else ~side, value)
 
 
+def _total(value: Column, scale: int | None) -> Column:
+    return F.sum(value).cast("double") if scale is None else exact_sum(value, scale)
+
+
 def row_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: ``left_count``, ``right_count``, ``diff`` and ``match``."""
     counts = _both(left, right, []).agg(
@@ -58,21 +64,21 @@ def aggregate_diff(
     keys: Sequence[str],
     value: str,
     *,
-    tolerance: float = 0.01,
-    scale: int | None = 2,
+    tolerance: float = 0.0,
+    scale: int | None = None,
 ) -> DataFrame:
     """Totals per key on both sides with their distance and a status.
 
     The status is ``match`` (within ``tolerance``, or both NULL), ``mismatch``, ``only_left`` or ``only_right``.
-    With ``scale`` sums run in decimals; ``scale=None`` sums the values as they are.
+    Values are summed as they are; with ``scale`` in decimals (:func:`exact_sum`), so that totals of doubles do not
+    depend on the order of the rows. Without it, give a ``tolerance`` for their last digits.
     """
-    amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
     totals = (
-        _both(left, right, [*(F.col(k) for k in keys), amount.alias("_value")])
+        _both(left, right, [*(F.col(k) for k in keys), F.col(value).alias("_value")])
         .groupBy(*keys)
         .agg(
-            F.sum(_side(True, F.col("_value"))).cast("double").alias("left_total"),
-            F.sum(_side(False, F.col("_value"))).cast("double").alias("right_total"),
+            _total(_side(True, F.col("_value")), scale).alias("left_total"),
+            _total(_side(False, F.col("_value")), scale).alias("right_total"),
             F.count(_side(True, F.lit(1))).alias("_in_left"),
             F.count(_side(False, F.lit(1))).alias("_in_right"),
         )
@@ -113,7 +119,7 @@ def keyed_diff(
     ``changed_columns`` names the columns that differ, ``left_rows`` and ``right_rows`` count the rows of the key. A key
     with several rows on a side is ``repeated``: it has no single row to compare, and :func:`bag_diff` compares such
     rows as a bag. ``tolerance`` is one number for all numeric columns or one per column. ``with_values`` adds the values
-    of both sides where each has a single row and they were compared by value.
+    of both sides of keys that are ``changed``.
 
     A few numbers per row are grouped as they are. For wider rows, or with ``by_hash``, only the keys and two 64-bit
     hashes of the row are shuffled; whole rows travel just for the keys whose hashes differ, and those are compared by
@@ -158,7 +164,8 @@ def _diff_by_value(left, right, keys, columns, tolerances, with_values, only_dif
     single = (F.col("left_rows") == 1) & (F.col("right_rows") == 1)
     pairs = {c: (F.col(f"left_{c}"), F.col(f"right_{c}")) for c in columns}
     changed = F.when(single, changed_columns(pairs, tolerances) if pairs else F.array().cast("array<string>"))
-    shown = [F.when(single, F.col(n)).alias(n) for c in columns for n in (f"left_{c}", f"right_{c}")]
+    is_changed = single & (F.size("changed_columns") > 0)
+    shown = [F.when(is_changed, F.col(n)).alias(n) for c in columns for n in (f"left_{c}", f"right_{c}")]
     result = grouped.withColumn("changed_columns", changed).select(
         *keys,
         _key_status(F.size("changed_columns") > 0).alias("status"),
@@ -171,7 +178,7 @@ def _diff_by_value(left, right, keys, columns, tolerances, with_values, only_dif
 
 
 def _diff_by_hash(left, right, keys, columns, tolerances, with_values, only_differences) -> DataFrame:
-    hashes = [row_fingerprint(columns, seed).alias(f"_hash{seed}") for seed in (0, 1)]
+    hashes = [row_fingerprint(left.schema, columns, seed).alias(f"_hash{seed}") for seed in (0, 1)]
     grouped = (
         _both(left, right, [*(F.col(k) for k in keys), *hashes])
         .groupBy(*keys)
@@ -299,12 +306,13 @@ def completeness(
     rejected: Mapping[str, Column],
     *,
     amount: str | None = None,
-    scale: int = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """Control totals: rows in, rows kept, rows rejected by each rule, and whether they add up.
 
     A condition that is NULL does not hold. Rules may not overlap: a row counted twice or not at all makes
-    ``balanced`` false. With ``amount`` the sum of that column is accounted for in the same way.
+    ``balanced`` false. With ``amount`` the sum of that column is accounted for in the same way, up to the last digits
+    that sums of doubles lose (a relative 1e-9). ``scale`` makes those sums independent of the order of the rows.
     """
     rules = {"kept": kept, **rejected}
     measures = [F.count("*").alias("rows_in")]
@@ -314,12 +322,14 @@ def completeness(
     hits = reduce(lambda a, b: a + b, (F.coalesce(rule.cast("int"), F.lit(0)) for rule in rules.values()))
     measures.append(F.count_if(hits != 1).alias("_unaccounted"))
     if amount:
-        number = F.col(amount).cast(f"decimal(18,{scale})")
-        measures.append(F.sum(number).alias("amount_in"))
-        measures += [F.sum(F.when(rule, number)).alias(f"amount_{name}") for name, rule in rules.items()]
-        parts = reduce(lambda a, b: a + b, (F.coalesce(f"amount_{name}", F.lit(0)) for name in rules))
-        balanced &= F.coalesce("amount_in", F.lit(0)) == parts
-    return df.agg(*measures).withColumn("balanced", balanced & (F.col("_unaccounted") == 0)).drop("_unaccounted")
+        number = F.col(amount)
+        measures.append(_total(number, scale).alias("amount_in"))
+        measures.append(_total(F.abs(number), None).alias("_size"))
+        measures += [_total(F.when(rule, number), scale).alias(f"amount_{name}") for name, rule in rules.items()]
+        parts = reduce(lambda a, b: a + b, (F.coalesce(f"amount_{name}", F.lit(0.0)) for name in rules))
+        whole = F.coalesce("amount_in", F.lit(0.0))
+        balanced &= (whole == parts) | (F.abs(whole - parts) <= 1e-9 * F.coalesce("_size", F.lit(0.0)))
+    return df.agg(*measures).withColumn("balanced", balanced & (F.col("_unaccounted") == 0)).drop("_unaccounted", "_size")
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -327,7 +337,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     columns = list(columns or df.columns)
     return df.agg(
         F.count("*").alias("n_rows"),
-        *(F.sum(row_fingerprint(columns, s).cast("decimal(20,0)")).alias(f"checksum{s}") for s in (0, 1)),
+        *(F.sum(row_fingerprint(df.schema, columns, s).cast("decimal(20,0)")).alias(f"checksum{s}") for s in (0, 1)),
     )
 
 
@@ -336,7 +346,7 @@ def repeatability(first: DataFrame, second: DataFrame, columns: Sequence[str] |
     columns = list(columns or first.columns)
     both = _both(first, second, [F.col(c) for c in columns])
     sums = {
-        (is_left, seed): F.sum(_side(is_left, row_fingerprint(columns, seed).cast("decimal(20,0)")))
+        (is_left, seed): F.sum(_side(is_left, row_fingerprint(both.schema, columns, seed).cast("decimal(20,0)")))
         for is_left in (True, False)
         for seed in (0, 1)
     }
@@ -368,14 +378,17 @@ def report(
     keys: Sequence[str],
     *,
     value: str | None = None,
-    tolerance: float = 0.01,
-    scale: int = 2,
+    tolerance: float | Mapping[str, float] = 0.0,
+    value_tolerance: float = 0.0,
+    scale: int | None = None,
 ) -> DataFrame:
     """One line per check of two tables: schema, row count, NULLs per column, total of ``value``, repeated keys, rows
     that differ.
 
-    The figures come from two passes over both tables, one that groups by key and one over everything; nothing but the
-    lines of the report leaves the executors.
+    ``tolerance`` is for the values of rows, one number or one per column, ``value_tolerance`` for the total of
+    ``value``; both are 0 unless given. The rows that differ are found by :func:`keyed_diff` (which reads the tables again
+    where it compares by hash), all other figures in one pass over both tables; nothing but the lines of the report leaves
+    the executors.
     """
     columns = [c for c in left.columns if c in right.columns]
     schema = schema_diff(left, right).agg(
@@ -397,8 +410,8 @@ def report(
         measures += pair(f"nulls{i}", F.count, F.when(F.col(column).isNull(), 1))
         lines.append(line("null_count", f"nulls{i}", item=F.lit(column)))
     if value:
-        measures += pair("total", F.sum, F.col(value).cast(f"decimal(18,{scale})"))
-        close = values_match(F.col("total_left").cast("double"), F.col("total_right").cast("double"), tolerance)
+        measures += pair("total", lambda v: _total(v, scale), F.col(value))
+        close = values_match(F.col("total_left"), F.col("total_right"), value_tolerance)
         lines.append(line("total", "total", close, F.lit(value)))
     whole = _both(left, right, [F.col(c) for c in columns]).agg(*measures)
 

@@ -30,7 +30,7 @@ def bag(columns, rows):
     return sorted(repr([row[i] for i in order]) for row in plain)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_its_sql(spark, database, name):
     df = contract.queries()[name](spark, SF_DIR)
     expected = database.execute(contract.oracle_sql()[name])
