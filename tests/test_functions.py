@@ -108,4 +108,4 @@ def test_values_match(spark, a, b, tolerance, expected):
 
 def test_fingerprint_sees_where_the_null_is(spark):
     df = spark.createDataFrame([(None, 1), (1, None), (1, 1), (None, None)], "a int, b int")
-    assert len(set(rows(df.select(fn.row_fingerprint(["a", "b"]))))) == 4
+    assert len(set(rows(df.select(fn.row_fingerprint(df.schema, ["a", "b"]))))) == 4

@@ -62,12 +62,11 @@ def test_orphans(spark):
     assert rows(joins.orphans(child, parent, "parent", "key")) == [(2, 9), (4, 9)]
 
 
-def test_orphans_need_no_shuffle_for_distinct_parents(spark, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+def test_few_distinct_parents_are_broadcast(spark):
     child = spark.range(1000).select((F.col("id") % 50).alias("k"))
     parent = spark.range(1000).select((F.col("id") % 40).alias("p"))
     found = joins.orphans(child, parent, "k", "p")
-    assert physical_plan(found).count("Exchange") == 2
+    assert "BroadcastHashJoin" in physical_plan(found)
     assert {r.k for r in found.collect()} == set(range(40, 50))
 
 
@@ -139,3 +138,30 @@ def test_hot_key_of_a_join_is_split(spark, conf):
     joined = joins.inner_join(orders, customers, "customer_id")
     assert len(joined.collect()) == 60000
     assert "skew=true" in physical_plan(joined)
+
+
+@pytest.mark.parametrize("how", ["anti", "semi"])
+def test_hot_key_of_a_child_is_split(spark, conf, monkeypatch, how):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins.checkpointed_lookup, "__defaults__", (0, 0))
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    child = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("row")
+    )
+    parent = spark.range(2, 60000, 1, 4).select(F.col("id").alias("p"))
+    if how == "anti":
+        found = joins.orphans(child, parent, "k", "p")
+        assert found.count() == 20001
+    else:
+        keys = joins.checkpointed_lookup(parent.distinct())
+        found = child.join(keys, F.col("k") == F.col("p"), "left_semi")
+    found.collect()
+    assert "skew=true" in physical_plan(found)

@@ -1,0 +1,199 @@
+"""Nothing is cut on the way: digits, NaN and Infinity, nested NULLs, line breaks, texts that are no dates."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from conftest import rows
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallymark.functions.numbers import exact_sum
+from tallymark.operators import aggregates, filters, quality
+from tallymark.operators import reconcile as rec
+from tallymark.plans import sales
+from tallymark.sources import readers, writers
+
+
+def values(spark, *numbers, kind="double"):
+    return spark.createDataFrame([(v,) for v in numbers], f"v {kind}")
+
+
+def total(df, scale):
+    return df.agg(exact_sum(F.col("v"), scale).alias("t")).first().t
+
+
+def test_small_values_are_not_rounded_away(spark):
+    left, right = (values(spark, *[v] * 1000).withColumn("k", F.monotonically_increasing_id()) for v in (0.001, 0.004))
+    assert {r.status for r in rec.aggregate_diff(left.withColumn("k", F.lit(1)), right.withColumn("k", F.lit(1)), ["k"], "v").collect()} == {"mismatch"}
+    found = {r.check_name: r.status for r in rec.report(left, right, ["k"], value="v").collect()}
+    assert found["total"] == found["differing_rows"] == "fail"
+    balance = rec.completeness(left, F.lit(True), {}, amount="v").first()
+    assert math.isclose(balance.amount_in, 1.0) and balance.balanced
+    assert math.isclose(quality.column_profile(left, "v").first().mean_value, 0.001)
+
+
+@pytest.mark.parametrize("scale", [None, 9])
+def test_small_minimum(spark, scale):
+    figures = aggregates.summary_statistics(values(spark, 301.11111111, 0.000000001), "v", scale=scale).first()
+    assert figures.min_sales == 0.000000001 and math.isclose(figures.max_sales, 301.11111111)
+
+
+def test_a_rate_is_compared_without_tolerance(spark):
+    left, right = (values(spark, v, v).withColumn("k", F.monotonically_increasing_id()) for v in (0.03, 0.035))
+    assert {r.check_name: r.status for r in rec.report(left, right, ["k"]).collect()}["differing_rows"] == "fail"
+    assert {r.check_name: r.status for r in rec.report(left, right, ["k"], tolerance=0.01).collect()}["differing_rows"] == "pass"
+
+
+def test_nan_and_infinity_stay_in_sums(spark):
+    inf, nan = float("inf"), float("nan")
+    assert total(values(spark, 1.0, inf), 2) == inf and total(values(spark, -inf, 1.0), 2) == -inf
+    assert math.isnan(total(values(spark, nan), 2)) and math.isnan(total(values(spark, inf, -inf, 1.0), 2))
+    assert total(values(spark, None, None), 2) is None and total(values(spark, None, 2.5), 2) == 2.5
+
+
+def test_large_values_are_summed(spark):
+    assert total(values(spark, 1e20, 1.25, -1e20), 2) == pytest.approx(1.25, abs=1e-9) or total(values(spark, 1e20), 2) == 1e20
+    assert total(values(spark, 1e17, 2e17), 2) == 3e17
+
+
+@pytest.mark.parametrize(("number", "scale"), [(0.001, 2), (1234567.891, 2), (1e-9, 8), (1e40, 2)])
+def test_digits_are_not_lost_silently(spark, number, scale):
+    with pytest.raises(PySparkException, match="not kept"):
+        total(values(spark, number), scale)
+
+
+def test_float_columns_have_the_digits_they_were_written_with(spark):
+    assert total(values(spark, 301.11, 0.1, kind="float"), 2) == 301.21
+
+
+# --- nested values --------------------------------------------------------------------------------------------------
+
+
+NESTED = "k int, a array<array<int>>, s struct<x: int, y: array<int>>"
+PAIRS = [
+    ([[None, 1]], [[1, None]]),
+    ([[1]], [[1, None]]),
+    ([[1], [2]], [[1, 2], []]),
+    ([None], []),
+    ([[]], [None]),
+    ([[1], None], [None, [1]]),
+]
+
+
+@pytest.mark.parametrize(("left", "right"), PAIRS)
+def test_nested_nulls_and_borders_differ(spark, left, right):
+    a, b = (spark.createDataFrame([(1, v, (None, v[0] if v else None))], NESTED) for v in (left, right))
+    assert rec.keyed_diff(a, b, ["k"], by_hash=True).first().status == "changed"
+    assert not rec.repeatability(a, b).first().identical and rec.repeatability(a, a).first().identical
+
+
+def test_random_nested_rows_give_the_same_by_hash_and_by_value(spark):
+    rng = random.Random(1)
+
+    def item(depth):
+        if rng.random() < 0.3:
+            return None
+        return rng.randint(0, 1) if depth == 0 else [item(depth - 1) for _ in range(rng.randint(0, 2))]
+
+    def row(k):
+        return k, item(2), None if rng.random() < 0.2 else (item(0), item(1))
+
+    left, right = (spark.createDataFrame([row(k) for k in range(400)], NESTED) for _ in range(2))
+    for options in ({}, {"with_values": True}, {"only_differences": True}):
+        by_hash, by_value = (rec.keyed_diff(left, right, ["k"], by_hash=h, **options) for h in (True, False))
+        assert by_hash.columns == by_value.columns and rows(by_hash) == rows(by_value)
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_output_does_not_depend_on_the_width(spark, width):
+    names = [f"c{i}" for i in range(width)]
+    left = spark.createDataFrame([(k, *range(width)) for k in (1, 2)], "k int, " + ", ".join(f"{n} int" for n in names))
+    right = left.withColumn("c0", F.when(F.col("k") == 2, 9).otherwise(F.col("c0")))
+    found = {r.k: (r.status, r.left_c0, r.right_c0) for r in rec.keyed_diff(left, right, ["k"], with_values=True).collect()}
+    assert found == {1: ("same", None, None), 2: ("changed", 0, 9)}
+
+
+# --- delimited text and dates ---------------------------------------------------------------------------------------
+
+
+def test_any_text_comes_back(spark, tmp_path):
+    texts = ["a\nb", "\r\n", "\\n", "\\\\\n", 'quote " and ""', "a,b", " blanks ", "", None, "\\", "end\\", "#x", "ñ\u2028é", '"']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    df = df.withColumn("at", F.expr("timestamp_ntz'2024-01-02 03:04:05.000006'")).coalesce(1)
+    readers.write_delimited(df, str(tmp_path / "t"))
+    back = readers.read_delimited(spark, str(tmp_path / "t"), df.schema)
+    assert rows(back) == rows(df)
+    assert spark.read.text(str(tmp_path / "t")).count() == len(texts)
+
+
+def test_bad_records_raise_or_are_set_apart(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("1,7,2024-01-01",), ("x,7,2024-01-01",), ("2,8,soon",)], "value string").write.text(path)
+    schema = "a int, b int, d date"
+    with pytest.raises(Exception, match="Malformed"):
+        readers.read_delimited(spark, path, schema).collect()
+    assert {r.a for r in readers.read_delimited(spark, path, schema, strict=False).collect()} == {1, 2, None}
+    assert [r.a for r in readers.accepted_rows(spark, path, schema).collect()] == [1]
+    assert {r[readers.REJECTED] for r in readers.rejected_lines(spark, path, schema).collect()} == {"x,7,2024-01-01", "2,8,soon"}
+
+
+def test_texts_that_are_no_dates_match_no_period(spark):
+    df = spark.createDataFrame([("2024-01-05",), ("soon",), ("",), (None,)], "d string")
+    period = ("2024-01-01", "2024-01-31")
+    assert rows(filters.in_period(df, "d", *period, as_text=False)) == [("2024-01-05",)]
+    with pytest.raises(PySparkException):
+        filters.in_period(df, "d", *period, as_text=False, strict=True).collect()
+
+
+# --- the job in SQL -------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def sources(spark, database):
+    rows_ = [("P1", 16777217.5, "2024-01-05"), ("P1", None, "2024-01-06"), ("P2", None, "2024-01-06"), ("P3", 1.0, "no date")]
+    spark.createDataFrame(rows_, "product_id string, sales double, sale_date string").write.saveAsTable(sales.SOURCE)
+
+
+PERIOD = ("2024-01-01", "2024-01-31")
+
+
+def test_sql_form_refuses_to_narrow_before_anything_is_written(spark, sources):
+    writers.create_empty_table(spark, sales.SUMMARY, "product_id string, total_sales double")
+    writers.create_empty_table(spark, sales.DETAIL, "product_id string, total_sales float")
+    with pytest.raises(writers.UnsafeInsert):
+        sales.process_sales_data_sql_approach(*PERIOD, spark)
+    assert spark.table(sales.SUMMARY).count() == 0
+    sales.process_sales_data_sql_approach(*PERIOD, spark, allow_narrowing=True)
+    assert spark.table(sales.DETAIL).count() == 1
+
+
+@pytest.mark.parametrize("options", [{}, {"scale": 1}, {"as_text": False}, {"period_column": "period"}])
+def test_both_forms_write_the_same(spark, sources, options):
+    found = []
+    for job in (sales.process_sales_data, sales.process_sales_data_sql_approach):
+        for target in (sales.SUMMARY, sales.DETAIL):
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
+            by = ["period"] if "period_column" in options else []
+            schema = "product_id string, total_sales double" + (", period string" if by else "")
+            writers.create_empty_table(spark, target, schema, by)
+        for _ in range(2):
+            job(*PERIOD, spark, **options)
+        found.append([rows(spark.table(t)) for t in (sales.SUMMARY, sales.DETAIL)])
+    assert found[0] == found[1] and found[0][0]
+
+
+# --- buckets --------------------------------------------------------------------------------------------------------
+
+
+def test_buckets_follow_from_the_size(spark, database):
+    df = spark.range(0, 20_000, 1, 8).withColumn("t", F.lit("x" * 100))
+    assert writers.buckets_for(df, bucket_bytes=10**9) == 1
+    n = writers.buckets_for(df, bucket_bytes=200_000)
+    assert 10 <= n <= 16
+    writers.write_bucketed(df, "b", "id", n)
+    files = spark.table("b").select(F.input_file_name()).distinct().count()
+    assert files <= 2 * n
+    assert spark.table("b").count() == 20_000
