@@ -21,6 +21,7 @@ def with_dates(df):
     return df.withColumn("sale_date", F.col("sale_date").cast("date"))
 
 
+# Rows of the documented boundary case.
 BOUNDARIES = [
     ("P001", "2024-01-01", 100.0),
     ("P002", "2024-01-31", 200.0),
@@ -86,6 +87,7 @@ def test_before_first_null(spark, data, kept):
     assert {r.k for r in filters.before_first_null(df, "k", "v").collect()} == kept
 
 
+# Rows and expected totals of the documented cases.
 SCENARIOS = {
     "several products": (
         [("P003", 300.0), ("P001", 100.0), ("P002", 200.0), ("P001", 150.0), ("P003", 250.0)],
@@ -114,6 +116,7 @@ def test_totals_of_float_are_double(spark):
 
 
 def test_precision(spark):
+    # The documented rows of many digits.
     df = spark.createDataFrame(
         [("P001", 100.123456789), ("P001", 200.987654321), ("P002", 0.000000001)], "product_id string, sales double"
     )

@@ -45,6 +45,7 @@ def loaded(spark):
     return rows(spark.table(sales.SUMMARY)), rows(spark.table(sales.DETAIL))
 
 
+# Rows, periods and expected totals of the documented cases.
 CASES = {
     "basic": (
         [("P001", "2024-01-15", 100.0), ("P002", "2024-01-20", 200.0), ("P001", "2024-01-25", 150.0)],
@@ -163,6 +164,7 @@ def test_two_runs_give_the_same_rows(spark, tables):
 
 @pytest.mark.parametrize(("start", "end"), [("", "2024-01-31"), ("2024-01-01", ""), (None, None)])
 def test_both_dates_are_needed(spark, tables, start, end):
+    # Fixed value: the message.
     with pytest.raises(ValueError, match="^Start date and end date must be provided$"):
         sales.process_sales_data_with_validation(start, end, spark)
 
