@@ -213,12 +213,17 @@ def link(
         )
     )
     each = 1 + settings.guests
-    spots = F.array_distinct(F.transform("cells", lambda c, i: F.struct((i / each).cast("int").alias("tab"), c.alias("cell"))))
+    spots = F.transform(
+        "cells",
+        lambda c, i: F.struct(F.floor(i / each).cast("int").alias("tab"), c.alias("cell"), (i % each == 0).alias("home")),
+    )
     member = placed.select("node", "n", "label", F.size("v").alias("dims"), "v", "cells", F.explode(spots).alias("at")).select(
-        "node", "n", "label", "dims", "v", "cells", "at.tab", "at.cell"
+        "node", "n", "label", "dims", "v", "cells", "at.*"
     )
     group = ["label", "dims", "tab", "cell"]
-    sizes = member.groupBy(group).agg(F.count("*").alias("members")).where("members > 1")
+    # guests alone do not meet
+    sizes = member.groupBy(group).agg(F.count("*").alias("members"), F.max("home").alias("lived_in"))
+    sizes = sizes.where("members > 1 and lived_in")
     sizes = sizes.select(*group, F.ceil(F.col("members") / settings.part).cast("int").alias("parts"))
     # each member goes to every pair of parts that holds its own: once in a cell of one part
     dealt = member.join(sizes, group).withColumn("part", F.pmod(F.xxhash64("node", "tab"), F.col("parts")).cast("int"))
