@@ -22,6 +22,7 @@ from tallymark.operators.joins import checkpointed_lookup
 _QUOTED = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+'|["'])[^>"']*+)*+"""
 _TAG = re.compile(rf"<!--(?:.*?--!?>|.*$)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)({_QUOTED})(?:>|$)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.IGNORECASE)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in "script style textarea title noframes iframe xmp".split()}
 
 DEEPEST = 200
@@ -50,11 +51,12 @@ _DROPPED_TAGS = frozenset(
 )
 _DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
 _DROPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent "
-    "cookie cookies discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices "
-    "pager pagination paywall popup promo promos promotion promoted recommendations recommended related replies respond "
-    "share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar tracking widget "
-    "widgets".split()
+    "ad ads adv adsense alert banner consent disclaimer discussion gdpr login masthead menu modal nav navigation notice "
+    "notices overlay pager pagination paywall popup recommendations recommended related replies respond share sharing "
+    "signin signup skip social tags toolbar topbar tracking trending".split()
+)
+_DROPPED_STARTS = (
+    "advert breadcrumb comment cookie disqus footer navbar newsletter promo sidebar sponsor subscri widget".split()
 )
 _NEVER_DROPPED = frozenset("html body main article".split())
 _WORD = re.compile(r"[a-z]+")
@@ -82,6 +84,7 @@ class Element:
         if (
             tag in _DROPPED_TAGS
             or attributes.get("role", "").lower() in _DROPPED_ROLES
+            or "hidden" in attributes
             or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         ):
             self.dropped = True
@@ -91,7 +94,7 @@ class Element:
             words = _WORD.findall(_CAMEL.sub(" ", name).lower())
             if words and words[0] in ("has", "with", "no", "without"):
                 continue
-            if not _DROPPED_WORDS.isdisjoint(words):
+            if not _DROPPED_WORDS.isdisjoint(words) or any(w.startswith(tuple(_DROPPED_STARTS)) for w in words):
                 self.dropped = True
                 return
             header = header or "header" in words
@@ -191,6 +194,8 @@ def blocks(page: str) -> list[Block]:
         if tag in _VOID:
             continue
         attributes = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(match[3])}
+        if _HIDDEN.search(match[3]):
+            attributes["hidden"] = ""
         if tag in ("html", "body"):
             if len(stack) > 1 and stack[-1].tag == "head":  # an unclosed head
                 del stack[1:]

@@ -272,7 +272,7 @@ ARTICLE = "<h1>Title &amp; more</h1><p>First   <b>bold</b>\n text with some word
         "<div class='share-buttons'>Tweet this</div><section id=comments><p>I am a comment, long enough to look like text."
         "</section></div></div><div class=sidebar><p>Other text of the sidebar with enough words to look like prose.</div>",
         f"<main><header class=hero><h2></h2><p>by someone</p></header>{ARTICLE}<script>var a='<p>no</p>'</script>"
-        "<form><p>Subscribe now</p><input></form></main><!-- <p>hidden</p> --><aside><p>aside text</p></aside>",
+        "<form><p>Subscribe now</p><input></form><ol class=commentlist><li>A reader says this.</ol><p hidden>not shown</p></main><!-- <p>hidden</p> --><aside><p>aside text</p></aside>",
     ],
 )
 def test_main_text_of_templates(page):
