@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallymark.llm import graph, lattice, mixing, neighbours, packing, queries, simhash
+from tallymark.llm import graph, lattice, mixing, neighbours, packing, pii, queries, simhash, toxicity
 from tallymark.llm.frames import importable
 
 
@@ -340,6 +341,50 @@ def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
 
+def test_stages_equal_brute_force(spark):
+    """Each filtering stage against a plain loop over its own input."""
+    stages = dict(corpus_pipeline.STAGES)
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    settings = toxicity.Settings()
+    leans, bias = queries.toxicity_model(documents, spark.read.parquet(f"{SF_DIR}/labels.parquet"), settings)
+
+    def toxic(text):
+        values = [np.mean([leans[g] for g in toxicity.subwords(w, settings)]) for w in re.findall(r"\w+", (text or "").lower())]
+        n = settings.window
+        windows = [np.mean(values[i : i + n]) for i in range(max(1, len(values) - n + 1))] if values else [0.0]
+        return 1 / (1 + np.exp(-(max(windows) + bias)))
+
+    rows = {r.doc_id: r for r in documents.collect()}
+    scores = {i: toxic(r.text) for i, r in rows.items()}
+    kept = stages["toxicity"](spark, documents, SF_DIR)
+    found = {r.doc_id for r in kept.collect()}
+    clear = {i for i, s in scores.items() if abs(s - 0.7) > 1e-4}
+    assert found & clear == {i for i in clear if scores[i] < 0.7}
+
+    docs = documents.where(F.col("doc_id").isin(sorted(found)))
+    prints = {i: plain_fingerprint(rows[i].text or "") for i in sorted(found)}
+    pairs = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    first = {i for i, c in grouped(list(prints), pairs).items() if i == c}
+    assert {r.doc_id for r in stages["simhash_near_duplicates"](spark, docs, SF_DIR).collect()} == first
+
+    docs = documents.where(F.col("doc_id").isin(sorted(first)))
+    model = pii.fit(docs)
+    redacted = stages["personal_data"](spark, docs, SF_DIR)
+    for r in redacted.collect():
+        base, further = pii.find(rows[r.doc_id].text or "", model)
+        want, at = "", 0
+        for kind, start, end in sorted([*base, *further], key=lambda s: s[1]):
+            if start >= at:
+                want, at = want + rows[r.doc_id].text[at:start] + f"<{kind.upper()}>", end
+        assert r.text == want + rows[r.doc_id].text[at:] and r.n_chars == len(r.text)
+        assert not pii.base_spans(r.text)
+
+    mixed = [r.doc_id for r in stages["mix_sources"](spark, docs, SF_DIR).collect()]
+    names = {"block": "b"}
+    placed = mixing.mix(docs, queries.MIX_WEIGHTS, default_weight=queries.DEFAULT_WEIGHT, block_rows=queries.BLOCK_ROWS, names=names)
+    assert mixed == [r.doc_id for r in sorted(placed.collect(), key=lambda r: (r.slot, r.place))]
+
+
 def test_pipeline(spark):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     docs, kept = documents, {}
