@@ -66,3 +66,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4_00
             total += int(size)
         if start < len(sizes):
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()

@@ -17,17 +17,18 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``id, component`` for every node of ``links`` (columns ``a``, ``b``, longs); a component is its smallest node.
 
     Alternating stars: a round lets every node tell its larger neighbours, then its smaller ones, the smallest node it
-    knows, which halves long chains. Minima are combined before the shuffle and a hot node is an ordinary join key, which
-    adaptive execution splits; each round is checkpointed. Links with a null end, loops and repeated links change nothing.
+    knows, which halves long chains. Minima are combined before the shuffle and kept in the shared folder, since adaptive
+    execution splits a hot node only in a join of plain shuffled rows; each round is checkpointed as well. Links with a
+    null end, loops and repeated links change nothing.
     """
     pairs = links.dropna(subset=["a", "b"]).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = checkpointed(pairs.where("u != v").distinct())
     before = _state(edges)
     for _ in range(max_rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        least = checkpointed(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        down = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(down, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(small.union(down.select("u", F.col("m").alias("v"))).distinct())
         after = _state(edges)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.graph import components
+from tallymark.operators.joins import checkpointed_lookup
 from tallymark.sources.scope import checkpointed
 
 
@@ -260,7 +261,7 @@ def link(
     )
     return (
         named.select("vec_id", "node")
-        .join(of_node, "node", "left")
+        .join(checkpointed_lookup(of_node), "node", "left")  # so that a vector of very many copies can be split
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

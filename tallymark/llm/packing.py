@@ -46,7 +46,7 @@ class WordIds:
     PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9²³¹¼-¾]|[^\sa-z0-9²³¹¼-¾{_LETTERS}]+"
     PLAIN = r"[\x09-\x0d\x20-\x7e\xa1-\xac\xae-įĲ-ž‐-‧‰-⁞₠-₿]*"
 
-    def __init__(self, path: str, max_words: int = 500_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)

@@ -158,6 +158,7 @@ def group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: in
     of_print = distinct.join(linked, "simhash", "left").select(
         "simhash", F.coalesce("smallest", "first").alias("component_id")
     )
+    of_print = checkpointed_lookup(of_print)  # so that a fingerprint of very many copies can be split
     return prints.join(of_print, "simhash").select("doc_id", "simhash", "component_id")
 
 

@@ -157,7 +157,7 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
 
 
 class Scorer:
-    def __init__(self, leans: np.ndarray, bias: float, settings: Settings, max_words: int = 400_000):
+    def __init__(self, leans: np.ndarray, bias: float, settings: Settings, max_words: int = 250_000):
         self._leans, self._bias, self._settings = leans, bias, settings
         self._known: dict[str, float] = {}
         self._max_words = max_words
