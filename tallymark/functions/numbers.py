@@ -30,8 +30,10 @@ def exact_sum(value: Column, scale: int = 2) -> Column:
 def kept_decimal(value: Column, scale: int, precision: int = 18) -> Column:
     """``value`` as a decimal; raises where that would change it (NaN and Infinity included), as in :func:`exact_sum`."""
     kind = f"decimal({precision},{scale})"
-    number, rounded = value.cast("double"), value.try_cast(kind)
+    number = value.cast("double")
+    scaled = number * F.lit(10.0**scale)
     slack = F.when(F.typeof(value) == "float", 2e-7).otherwise(1e-13)
-    same = F.abs(rounded.cast("double") - number) <= slack * F.abs(number)
+    # NaN is larger than every number, so it does not fit either
+    same = (F.abs(number) < F.lit(10.0 ** (precision - scale))) & (F.abs(F.rint(scaled) - scaled) <= slack * F.abs(scaled))
     lost = F.raise_error(F.concat(F.lit("value is not kept by "), F.lit(kind), F.lit(": "), value.cast("string")))
-    return F.when(F.coalesce(same, value.isNull()), rounded).otherwise(lost.cast(kind))
+    return F.when(F.coalesce(same, value.isNull()), value.cast(kind)).otherwise(lost.cast(kind))
