@@ -187,3 +187,22 @@ SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(first_slot + (turn -
     CAST(first_slot + (turn - r) * total + due AS BIGINT) AS deadline, CAST(i % {BLOCK_ROWS} AS INTEGER) AS place
 FROM since JOIN places USING (r, key) WHERE block % weight = j
 """
+
+SQL["op10_lattice_near_duplicates"] = """
+WITH RECURSIVE rows_ AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), sound AS (
+    SELECT * FROM rows_ WHERE label IS NOT NULL AND len(e) > 0
+        AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_inner_product(e, e) > 0
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+    SELECT vec_id, vec_id AS r FROM rows_ UNION SELECT reach.vec_id, y FROM reach JOIN links ON r = x
+), found AS (
+    SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT vec_id, (SELECT COUNT(*) FROM links WHERE x = vec_id) AS n_links, component_id, component_id = vec_id AS kept
+FROM found
+"""
