@@ -17,7 +17,7 @@ from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, Ti
 from tallymark.functions.compare import changed_columns, row_fingerprint, values_match
 from tallymark.functions.numbers import exact_sum
 from tallymark.operators.audit import counted
-from tallymark.operators.filters import Day, period_condition
+from tallymark.operators.filters import Day
 from tallymark.functions.size import row_bytes
 from tallymark.operators.joins import broadcast_within, same_keys
 from tallymark.operators.quality import require_columns
