@@ -19,7 +19,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.frames import slices, texts
@@ -151,29 +151,52 @@ def group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: in
     plain = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = checkpointed(fingerprints(plain, words=words))
     distinct = checkpointed(prints.groupBy("simhash").agg(F.min("doc_id").alias("first")))
+    of_print = _smallest(distinct, distance).withColumnRenamed("smallest", "component_id")
+    of_print = checkpointed_lookup(of_print)  # so that a fingerprint of very many copies can be split
+    return prints.join(of_print, "simhash").select("doc_id", "simhash", "component_id")
+
+
+def _smallest(distinct: DataFrame, distance: int) -> DataFrame:
+    """``simhash, smallest``: of distinct fingerprints, each with its ``first``, the smallest ``first`` in reach."""
     members = components(close_pairs(distinct, distance)).withColumnRenamed("id", "simhash")
     linked = members.join(distinct, "simhash")
     smallest = linked.groupBy("component").agg(F.min("first").alias("smallest"))
     linked = linked.join(smallest, "component").select("simhash", "smallest")
-    of_print = distinct.join(linked, "simhash", "left").select(
-        "simhash", F.coalesce("smallest", "first").alias("component_id")
-    )
-    of_print = checkpointed_lookup(of_print)  # so that a fingerprint of very many copies can be split
-    return prints.join(of_print, "simhash").select("doc_id", "simhash", "component_id")
+    return distinct.join(linked, "simhash", "left").select("simhash", F.coalesce("smallest", "first").alias("smallest"))
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the document with the smallest id.
+    """The rows of ``docs`` without near-duplicates: of each component exactly one row, one with the smallest id.
 
-    Of rows that share that id one stays, whichever Spark meets first. A component without any id keeps one row as well.
+    Null ids come last, so that a component without any id keeps one row as well. Of rows that share the smallest id that
+    with the smallest MD5 of the text stays, then that with the smallest hash of the other columns. Rows of different
+    components may share an id: each component keeps its own.
     """
-    grouped = group(docs, key=key, text=text, words=words, distance=distance)
-    chosen = grouped.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = checkpointed_lookup(chosen.select(F.col("doc_id").alias("kept_id"), (F.col("n") > 1).alias("repeated")))
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").alias("id"))
-    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")))
+    id_, body = F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    # equal ids and texts lie in one component, so that these three name a row of one component only
+    named = {"doc_id": id_, "digest": F.unhex(F.md5(body.cast("binary"))), "rest": _rest(docs, [key, text])}
+    plain = docs.select(*(c.alias(n) for n, c in named.items()), F.col(f"`{text}`").alias("text"))
+    copies = fingerprints(plain, words=words).groupBy("simhash", *named).agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), *named, "n")
+    distinct = checkpointed(copies.groupBy("simhash").agg(F.min(order).alias("first")))
+    chosen = _smallest(distinct, distance).select("smallest.*").distinct()
+    kept = checkpointed_lookup(
+        chosen.select(
+            F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"), F.col("rest").alias("kept_rest"),
+            (F.col("n") > 1).alias("repeated"),
+        )
+    )
+    rows = docs.select(F.struct("*").alias("row"), *(c.alias(n) for n, c in named.items()))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    rows = rows.join(kept, same & (F.col("rest") == F.col("kept_rest")))
     single = rows.where("not repeated").select("row.*")
-    return single.unionByName(rows.where("repeated").dropDuplicates(["id"]).select("row.*"))
+    return single.unionByName(rows.where("repeated").dropDuplicates(list(named)).select("row.*"))
+
+
+def _rest(docs: DataFrame, but: list[str]) -> Column:
+    """A hash of the other columns, nulls told from absent values; maps cannot be hashed and are left out."""
+    rest = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in but and "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(F.lit(0), *rest, *(c.isNull() for c in rest))
 
 
 def hexadecimal(simhash: str = "simhash"):

@@ -246,6 +246,17 @@ def test_one_document_of_each_group_stays(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_components_that_share_an_id_keep_a_row_each(spark):
+    same = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, "one of its own"), (None, "quite another text here"), (7, "first text of seven"), (7, "unlike the first at all")]
+    rows += [(7, same), (5, same), (5, same), (None, same)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([*rows[:4], (5, same)], key=str)
+    other = docs.withColumn("lang", F.lit("x")).union(docs)  # rows that differ in another column only
+    assert sorted(((r.doc_id, r.text) for r in simhash.keep_one(other).collect()), key=str) == sorted(kept, key=str)
+
+
 # --- vectors --------------------------------------------------------------------------------------------------------
 
 
