@@ -83,11 +83,11 @@ def _key(points: np.ndarray, salt: int) -> np.ndarray:
 
 
 def directions(dims: int, table: int, settings: Settings) -> np.ndarray:
+    """Orthogonal directions as columns, stretched; vectors with fewer dimensions count as if zeros followed them."""
     rng = np.random.default_rng([settings.seed, table, dims])
     wanted = 8 * settings.eights
-    if dims >= wanted:
-        return np.linalg.qr(rng.normal(size=(dims, wanted)))[0] * settings.scale * np.sqrt(dims / 64)
-    return rng.normal(size=(dims, wanted)) / np.sqrt(dims) * settings.scale
+    whole = max(dims, wanted)
+    return np.linalg.qr(rng.normal(size=(whole, wanted)))[0][:dims] * settings.scale * np.sqrt(whole / 64)
 
 
 def cells(unit: np.ndarray, settings: Settings) -> np.ndarray:

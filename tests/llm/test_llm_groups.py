@@ -310,6 +310,19 @@ def test_links_of_odd_rows(spark):
     assert lattice.link(df.limit(0), 0.93).count() == 0
 
 
+@pytest.mark.parametrize("dims", [4, 8, 12, 64])
+def test_near_vectors_meet_in_few_dimensions_as_well(dims):
+    rng = np.random.default_rng(dims)
+    settings = lattice.Settings()
+    a = lattice._unit(rng.normal(size=(3000, dims)))
+    side = rng.normal(size=a.shape)
+    side = lattice._unit(side - (side * a).sum(axis=1)[:, None] * a)
+    cosine = rng.uniform(0.93, 0.95, len(a))[:, None]
+    ca, cb = (lattice.cells(x, settings) for x in (a, cosine * a + np.sqrt(1 - cosine**2) * side))
+    meets = (cb == ca[:, :, :1]).any(axis=2) | (ca == cb[:, :, :1]).any(axis=2)
+    assert meets.any(axis=1).mean() >= 0.98
+
+
 @pytest.mark.parametrize("scaled", [False, True])
 def test_neighbours_are_found(spark, scaled):
     rng = np.random.default_rng(15)
