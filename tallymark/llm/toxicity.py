@@ -117,12 +117,15 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
     softmax = rng.normal(0, 0.5, (settings.dims, 2))
     bias = np.zeros(2)
     g_vectors, g_softmax, g_bias = np.full(settings.buckets, 1e-8), np.full((settings.dims, 2), 1e-6), np.full(2, 1e-6)
-    importance = 0.5 * len(labels) / np.bincount(labels, minlength=2)
-    left = np.zeros(0, np.int64)
+    # both labels weigh alike: half of each batch is drawn from either, however rare it is
+    own_of, left_of = [np.flatnonzero(labels == y) for y in (0, 1)], [np.zeros(0, np.int64)] * 2
+    half = -(-settings.batch // 2)
     for step in range(settings.mean_steps + settings.window_steps):
-        if not len(left):
-            left = rng.permutation(len(docs))
-        chosen, left = left[: settings.batch], left[settings.batch :]
+        for y in (0, 1):
+            while len(left_of[y]) < half:
+                left_of[y] = np.concatenate([left_of[y], rng.permutation(own_of[y])])
+        chosen = np.concatenate([left[:half] for left in left_of])
+        left_of = [left[half:] for left in left_of]
         own = [docs[i] for i in chosen]
         if step >= settings.mean_steps:
             if (step - settings.mean_steps) % settings.refresh == 0:
@@ -140,7 +143,7 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         wrong = odds / odds.sum(axis=1, keepdims=True)
         wrong[np.arange(len(chosen)), labels[chosen]] -= 1
-        wrong *= importance[labels[chosen]][:, None] / len(chosen)
+        wrong /= len(chosen)
         d_softmax, d_bias = bags.T @ wrong, wrong.sum(axis=0)
         slope = (wrong @ softmax.T)[owner] * weight[:, None]
         d_words = np.stack([np.bincount(used, v, len(words)) for v in slope.T], 1) / sizes[:, None]
@@ -190,20 +193,34 @@ def _scorer(leans: np.ndarray, bias: float, settings: Settings) -> Scorer:
 def sample(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str, text: str, label: str) -> list[tuple[str, int]]:
     """Labelled texts for training, about ``max_docs`` of them and ``max_chars`` letters at most, chosen by a hash of the id.
 
+    Each of the two labels has a rate of its own: half of both bounds is its, and what the rarer one leaves goes to the
+    other. So rare labels are taken whole up to that half. :func:`train` weighs both labels alike, whatever their shares.
     Null labels and labels other than 0 and 1 are not learned from. Labels are joined by id; an id that is labelled twice
     gives two samples.
     """
     known = labels.where(F.col(f"`{label}`").isin(0, 1) & F.col(f"`{key}`").isNotNull())
     known = known.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    n = known.count()
-    size = rows.agg(F.avg(F.octet_length("text"))).first()[0] or 0.0
-    share = min(1.0, settings.max_docs / max(n, 1), settings.max_chars / max(n * size, 1))
-    chosen = F.pmod(F.xxhash64("id", F.lit(settings.seed)), F.lit(1_000_000)) < int(share * 1_000_000)
-    drawn = known.where(chosen).join(rows.where(chosen), "id").select("id", "text", "label").collect()
+    sized = known.join(rows.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")), "id")
+    found = {r["label"]: r for r in sized.groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()}
+    docs_of = _shared({y: r["n"] for y, r in found.items()}, settings.max_docs)
+    size_of = _shared({y: r["size"] for y, r in found.items()}, settings.max_chars)
+    shares = {y: min(1.0, docs_of[y] / r["n"], size_of[y] / max(r["size"], 1)) for y, r in found.items()}
+    # in 2^53 steps, so that the share of any number of rows is not rounded to none
+    spot = F.pmod(F.xxhash64("id", F.lit(settings.seed)), F.lit(1 << 53))
+    chosen = F.lit(False)
+    for y, share in shares.items():
+        chosen = chosen | ((F.col("label") == y) & (spot < int(share * (1 << 53))))
+    ids = F.broadcast(sized.where(chosen).select("id").distinct())  # about ``max_docs``, so that texts are not shuffled
+    drawn = rows.join(ids, "id").join(known.where(chosen).join(ids, "id"), "id").select("id", "text", "label").collect()
     return [(r.text, r.label) for r in sorted(drawn, key=lambda r: (r.id, r.label, r.text or ""))]
 
 
+def _shared(wanted: dict[int, int], bound: int) -> dict[int, float]:
+    """``bound`` dealt to those who want a part of it: each half, or more where the other wants less."""
+    return {y: max(bound / 2, bound - sum(w for z, w in wanted.items() if z != y)) for y in wanted}
+
+
 def score(
     docs: DataFrame, leans: np.ndarray, bias: float, settings: Settings = Settings(), *, text: str = "text", name: str = "toxicity",
     keep_text: bool = True,

@@ -236,6 +236,25 @@ def test_toxic_words_count_in_long_texts_and_misspelled():
     assert 0 <= scorer("") <= 1
 
 
+def test_rare_labels_are_drawn_and_learned(spark):
+    """Toxic rows are 1 in 5,000, and the sample is a small part of all rows."""
+    settings = toxicity.Settings(max_docs=1_000, buckets=1 << 14)
+    words = F.array(*(F.lit(w) for w in "a stone lies near the old river and nobody ever asks why it does".split()))
+    plain = F.concat_ws(" ", F.shuffle(words, 3))
+    toxic = F.col("id") % 5_000 == 77
+    docs = spark.range(100_000).withColumn("label", toxic.cast("int")).withColumnRenamed("id", "doc_id")
+    docs = docs.select("doc_id", "label", F.concat_ws(" ", plain, F.when(F.col("label") == 1, "worthless")).alias("text"))
+    drawn = toxicity.sample(docs, docs, settings, key="doc_id", text="text", label="label")
+    assert sum(y for _, y in drawn) == 20 and 800 < len(drawn) < 1_200
+    scorer = toxicity.Scorer(*toxicity.train(drawn, settings), settings)
+    assert scorer("the old river is worthless") >= 0.7 > scorer("the old river lies near a stone")
+    few = toxicity.Settings(max_docs=100)
+    many = docs.withColumn("label", F.col("doc_id").cast("int") % 2)
+    assert 50 < len(toxicity.sample(many, many, few, key="doc_id", text="text", label="label")) < 150
+    short = toxicity.Settings(max_chars=20_000)
+    assert 10_000 < sum(len(x) for x, _ in toxicity.sample(many, many, short, key="doc_id", text="text", label="label")) < 30_000
+
+
 def test_one_class_or_none():
     assert toxicity.train([])[1] == 0.0
     assert toxicity.train([("a", 1)])[1] > 0 > toxicity.train([("a", 0), (None, 0)])[1]
