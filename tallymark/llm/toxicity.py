@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from tallymark.llm.frames import kept_in_worker, slices, texts
 
 _WORDS = re.compile(r"\w+").findall
-_LONGEST = 40  # letters of a word that count on either side of a longer one
+_LONGEST = 80  # letters of a run that is one word
+_PIECE, _OVERLAP = 20, 10  # letters of the words that a longer run is cut to, and how many two of them share
 
 
 @dataclass(frozen=True)
@@ -48,9 +49,23 @@ class Settings:
     seed: int = 7
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text in lower case. Runs of more than 80 letters are cut at underscores and then to short pieces that
+    overlap, so that any eleven letters in a row lie in one of them."""
+    words = _WORDS(text.lower())
+    if max(map(len, words), default=0) <= _LONGEST:
+        return words
+    return [piece for word in words for piece in (_pieces(word) if len(word) > _LONGEST else [word])]
+
+
+def _pieces(run: str) -> list[str]:
+    parts = filter(None, run.split("_"))
+    return [p[i : i + _PIECE] for p in parts for i in range(0, max(len(p) - _OVERLAP, 1), _PIECE - _OVERLAP)]
+
+
 def subwords(word: str, settings: Settings) -> list[int]:
-    """Buckets of the character n-grams of ``<word>``, the whole of it included. Very long words count by both ends."""
-    word = f"<{word}>" if len(word) <= 2 * _LONGEST else f"<{word[:_LONGEST]}{word[-_LONGEST:]}>"
+    """Buckets of the character n-grams of ``<word>``, the whole of it included."""
+    word = f"<{word}>"
     grams = {
         word[i : i + n] for n in range(settings.shortest, settings.longest + 1) for i in range(len(word) - n + 1)
     } | {word}
@@ -110,7 +125,7 @@ def train(samples: Sequence[tuple[str | None, int]], settings: Settings = Settin
     if len(set(labels.tolist())) < 2:
         return np.zeros(settings.buckets), 0.0 if not len(labels) else (5.0 if labels[0] else -5.0)
     vocabulary = Vocabulary(settings)
-    docs = [vocabulary.ids(_WORDS((t or "").lower())) for t, _ in samples]
+    docs = [vocabulary.ids(words_of(t or "")) for t, _ in samples]
     offsets, grams = vocabulary.finish()
     rng = np.random.default_rng(settings.seed)
     vectors = rng.uniform(-1, 1, (settings.buckets, settings.dims)) / settings.dims
@@ -172,14 +187,18 @@ class Scorer:
         self._known.update(zip(words, (total / sizes).tolist(), strict=True))
 
     def __call__(self, text: str) -> float:
-        words, known = _WORDS(text.lower()), self._known
+        words, known = words_of(text), self._known
         try:
             leans = list(map(known.__getitem__, words))
         except KeyError:
-            if len(known) > self._max_words:
-                known.clear()
-            self._learn([w for w in dict.fromkeys(words) if w not in known])
-            leans = list(map(known.__getitem__, words))
+            leans = []
+            for start in range(0, len(words), 50_000):  # bounds the subwords held at once
+                part = words[start : start + 50_000]
+                if len(known) > self._max_words:
+                    known.clear()
+                if new := [w for w in dict.fromkeys(part) if w not in known]:
+                    self._learn(new)
+                leans.extend(map(known.__getitem__, part))
         worst = window_means(np.array(leans), self._settings.window).max() if leans else 0.0
         return float(1 / (1 + np.exp(-np.clip(worst + self._bias, -50, 50))))
 

@@ -255,6 +255,16 @@ def test_rare_labels_are_drawn_and_learned(spark):
     assert 10_000 < sum(len(x) for x, _ in toxicity.sample(many, many, short, key="doc_id", text="text", label="label")) < 30_000
 
 
+@pytest.mark.parametrize("joint", ["_", ""])
+def test_the_middle_of_a_long_run_is_read(joint):
+    settings = toxicity.Settings(buckets=1 << 14)
+    scorer = toxicity.Scorer(*toxicity.train(toxic_samples(), settings), settings)
+    clean = " ".join(t for t, y in toxic_samples() if not y).split()[:200]
+    run = joint.join([*clean, "worthless", "disgusting", *clean])
+    assert scorer(joint.join(clean)) < 0.7 <= scorer(run)
+    assert scorer(run.replace("worthlessdisgusting", "x")) < 0.7 or joint
+
+
 def test_one_class_or_none():
     assert toxicity.train([])[1] == 0.0
     assert toxicity.train([("a", 1)])[1] > 0 > toxicity.train([("a", 0), (None, 0)])[1]
