@@ -44,10 +44,10 @@ _CLOSES = {
     "option": (("option",), ("select", "datalist")),
 }
 
-# What never belongs to an article, by tag, by role and by word in a class or id.
+# What never belongs to an article, by tag and by role, and what rarely does, by word in a class or id.
 _DROPPED_TAGS = frozenset(
     "head nav footer aside script style noscript template svg canvas object select button textarea dialog iframe menu "
-    "datalist audio video math noframes title".split()
+    "datalist audio video noframes title".split()
 )
 _DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
 _DROPPED_WORDS = frozenset(
@@ -58,13 +58,20 @@ _DROPPED_WORDS = frozenset(
 _DROPPED_STARTS = (
     "advert breadcrumb comment cookie disqus footer navbar newsletter promo sidebar sponsor subscri widget".split()
 )
+_COMMENTARY = ("commentar", "commentat")  # an article's own words, unlike other ones with that start
+_OF_READERS = ("comment", "disqus", "respond", "replies")
 _NEVER_DROPPED = frozenset("html body main article".split())
 _WORD = re.compile(r"[a-z]+")
+_ANNOTATION_END = re.compile(r"</annotation(?:-xml)?(?=[\s/>])", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "head_only", "form", "depth", "gain")
+    """``dropped`` with all below it by tag or role. ``doubted`` is the nearest element that a word of a class or id speaks
+    against, itself or above; whether it goes is decided when the whole page is known (:func:`_spare`)."""
+
+    __slots__ = ("tag", "parent", "path", "dropped", "head_only", "form", "depth", "gain", "inside", "holds",
+                 "doubted", "by_id", "readers", "plain", "spared")
 
     def __init__(self, tag: str, parent: Element | None, attributes: dict[str, str]):
         self.tag, self.parent = tag, parent
@@ -74,6 +81,13 @@ class Element:
         self.dropped = bool(parent) and parent.dropped
         self.head_only = bool(parent) and parent.head_only
         self.form = (bool(parent) and parent.form) or tag == "form"
+        self.doubted = parent.doubted if parent else None
+        self.holds, self.by_id, self.readers, self.plain, self.spared = "", "", False, True, False
+        kind = "main" if attributes.get("role", "").lower() == "main" else tag
+        self.inside = kind in ("main", "article") or (bool(parent) and parent.inside)
+        if kind in ("main", "article"):
+            for e in ancestors(parent):
+                e.holds = kind if e.holds != "main" else e.holds
         names = attributes.get("class", "")
         label = tag
         if names:
@@ -89,20 +103,26 @@ class Element:
         ):
             self.dropped = True
             return
-        header = tag == "header"
-        for name in f"{names} {attributes.get('id', '')}".split():
+        own_id = attributes.get("id", "") if tag not in _HEADINGS and tag != "p" else ""  # those of headings are its text
+        header = False
+        for place, name in enumerate([*names.split(), *own_id.split()]):
             words = _WORD.findall(_CAMEL.sub(" ", name).lower())
             if words and words[0] in ("has", "with", "no", "without"):
                 continue
-            if not _DROPPED_WORDS.isdisjoint(words) or any(w.startswith(tuple(_DROPPED_STARTS)) for w in words):
-                self.dropped = True
+            begun = [w for w in words if w.startswith(tuple(_DROPPED_STARTS)) and not w.startswith(_COMMENTARY)]
+            if begun or not _DROPPED_WORDS.isdisjoint(words):
+                self.doubted, self.plain = self, not begun
+                self.by_id = own_id if place >= len(names.split()) else ""
+                self.readers = any(w.startswith(_OF_READERS) and not w.startswith(_COMMENTARY) for w in words)
                 return
             header = header or "header" in words
-        if header:  # the head of the page goes; of the head of an article its headings stay
+        if header or tag == "header":  # the head of the page goes; of the head of an article its headings stay
             if any(e.tag in ("article", "main") for e in ancestors(self)):
                 self.head_only = True
-            else:
+            elif tag == "header":
                 self.dropped = True
+            else:
+                self.doubted = self
 
 
 def ancestors(element: Element | None) -> Iterator[Element]:
@@ -126,6 +146,7 @@ def blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     deeper: list[str] = []  # elements below ``DEEPEST``, which count as part of the one there
     linked = 0
+    annotated = True  # whether an end of an annotation may follow
 
     def flush() -> None:
         nonlocal linked
@@ -181,6 +202,10 @@ def blocks(page: str) -> list[Block]:
         if tag in ("br", "img", "wbr"):
             pieces.append(" " if tag != "wbr" else "")
             continue
+        if tag in ("annotation", "annotation-xml") and annotated:  # the source of a formula, which no one sees
+            end = _ANNOTATION_END.search(page, at)
+            at, annotated = (end.start(), True) if end else (at, False)
+            continue
         if tag not in _BLOCKS and tag not in _DROPPED_TAGS:
             if tag not in _VOID and tag == "a":
                 inline.append(tag)
@@ -215,9 +240,54 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _doubts(block: Block) -> Iterator[Element]:
+    """The doubted elements that a block lies in, from the inside."""
+    doubted = block.element.doubted
+    while doubted is not None:
+        yield doubted
+        doubted = doubted.parent.doubted if doubted.parent else None
+
+
+def _spare(found: list[Block]) -> None:
+    """Spare those doubted elements that hold the article, or are sections of it with an id made from a heading.
+
+    An element stays that holds a main element. If no article is left without doubt, one stays that holds an article or
+    more than half of the prose of the page, comments of readers excepted. Marked by its id alone, one stays that has more
+    prose than else and is a section or begins with a heading of that name.
+    """
+    inside: dict[Element, list[Block]] = {}
+    total, sure = 0, False
+    for block in found:
+        worth = _worth(block)
+        total += max(worth, 0)
+        sure = sure or (block.element.doubted is None and block.element.inside and worth > 0)
+        for element in _doubts(block):
+            inside.setdefault(element, []).append(block)
+    for element, own in inside.items():
+        worth = [_worth(b) for b in own]
+        most = 2 * sum(w for w in worth if w > 0) > total
+        if element.holds == "main":
+            element.spared = True
+        elif not element.readers and not sure and not element.inside and (element.holds or most):
+            element.spared = True
+        elif element.by_id and not element.readers and sum(worth) > 0:
+            heading = own[0].leaf in _HEADINGS and _slug(own[0].text) == _slug(element.by_id)
+            element.spared = heading or (element.tag == "section" and element.plain)
+
+
+def _slug(text: str) -> list[str]:
+    return re.findall(r"\w+", text.lower().replace("_", " "))
+
+
 def _kept(found: list[Block]) -> list[Block]:
-    """Blocks that may belong to an article; forms count only on pages that are one form as a whole."""
-    kept = [b for b in found if not b.element.dropped and not (b.element.head_only and b.leaf not in _HEADINGS)]
+    """Blocks that may belong to an article; forms count only on pages that are one form as a whole.
+
+    Words of classes and ids never leave a page without text.
+    """
+    found = [b for b in found if not b.element.dropped]
+    _spare(found)
+    kept = [b for b in found if not (b.element.head_only and b.leaf not in _HEADINGS) and all(e.spared for e in _doubts(b))]
+    kept = kept or found
     outside = [b for b in kept if not b.element.form]
     inside = sum(len(b.text) for b in kept) - sum(len(b.text) for b in outside)
     return outside if inside <= 2 * sum(len(b.text) for b in outside) or inside < 500 else kept

@@ -309,7 +309,33 @@ def test_main_text_of_templates(page):
     assert html_text.main_text(page, {path: 1.0}) == "Title & more\nFirst bold text with some words in it.\nSecond one goes on, too."
 
 
-@pytest.mark.parametrize("page", ["<" * 50_000, '<a href="x' * 5_000, "<div>" * 5_000 + "deep", "<p>a" * 20_000, "<b" * 9_000])
+PROSE = "A sentence of the article that is long enough to read like prose, with some more words."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article><h2 id='related-work'>Title</h2><p id='social-effects'>{PROSE}<section id='discussion'><p>End {PROSE}</section></article>",
+        f"<article><h2>Title</h2><p>{PROSE}<div class=commentary><p>End {PROSE}</div><div class=comments><p>{PROSE}</div></article>",
+        f"<div class='content-sidebar-wrap'><main><article><h2>Title</h2><p>{PROSE}<p>End {PROSE}</article></main><div class=sidebar>x</div></div>",
+        f"<div class='layout-sidebar-right'><article><h2>Title</h2><p>{PROSE}<p>End {PROSE}</article><div class=sidebar>x</div></div>",
+        f"<div class='page-header-wrap'><h2>Title</h2><p>{PROSE}<p>End {PROSE}</div>",
+        f"<div class=doc><h2>Title</h2><p>{PROSE}<div id=related-work><p>End {PROSE}</div></div>".replace("<p>End", "<h3>Related work</h3><p>End"),
+        f"<div class=comment-list><h2>Title</h2><p>{PROSE}<p>End {PROSE}</div>",
+    ],
+)
+def test_words_of_classes_and_ids_lose_no_article(page):
+    want = ["Title", PROSE, f"End {PROSE}"]
+    text = html_text.main_text(page, {html_text.best_path(page): 1.0})
+    assert [line for line in text.split("\n") if line != "Related work"] == want
+
+
+def test_formulas_are_text():
+    page = "<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=tex>x = 2</annotation></math> holds"
+    assert html_text.main_text(page, {"body": 1.0}) == "where x=2 holds"
+
+
+@pytest.mark.parametrize("page", ["<annotation>" * 20_000, "<div class=nav>" * 190 + "<p>a" * 5_000, "<" * 50_000, '<a href="x' * 5_000, "<div>" * 5_000 + "deep", "<p>a" * 20_000, "<b" * 9_000])
 def test_broken_pages_take_linear_time(page):
     html_text.main_text(page, {})
 
