@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.operators.joins import checkpointed_lookup
 from tallymark.sources.scope import checkpointed
 
 
@@ -41,6 +42,18 @@ class Settings:
     seed: int = 3
 
 
+@dataclass(frozen=True)
+class Index:
+    """``points``: ``shard, place, node, twin, first, last, v, edges`` of each distinct vector; ``ids``: ``node, twin, vec_id, n``.
+
+    ``node`` and ``twin`` are two hashes that name a vector, ``first`` and ``last`` its smallest and largest id, and ``n``
+    counts the rows of an id and vector.
+    """
+
+    points: DataFrame
+    ids: DataFrame
+
+
 class Graph:
     """A shard in memory: points, squared norms and neighbours (-1 where there is none)."""
 
@@ -203,24 +216,29 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def build(rows: DataFrame, settings: Settings = Settings(), *, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The index: ``shard, place, vec_id, v, edges`` of every sound vector, written to the shared folder.
+def build(rows: DataFrame, settings: Settings = Settings(), *, key: str = "vec_id", vector: str = "embedding") -> Index:
+    """The index of every sound vector, written to the shared folder.
 
-    Vectors that are null, empty, zero, or hold null or non-finite numbers are left out, and so are null ids. Vectors of
-    different lengths lie in different shards. Rows with equal ids are points of their own.
+    Equal vectors are one point of a graph, since copies would prune each other's edges and leave nothing else to reach;
+    their ids lie in a table beside. Vectors that are null, empty, zero, or hold null or non-finite numbers are left out,
+    and so are null ids. Vectors of different lengths lie in different shards. Rows with equal ids stay rows of their own.
     """
     sound = rows.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     sound = sound.where(F.col("vec_id").isNotNull() & _sound("v"))
+    named = sound.withColumns({"node": F.xxhash64(F.lit(0), "v"), "twin": F.xxhash64(F.lit(1), "v")})
+    ids = checkpointed(named.groupBy("node", "twin", "vec_id").agg(F.count("*").alias("n")))
+    ends = F.min("vec_id").alias("first"), F.max("vec_id").alias("last")
+    sound = named.groupBy("node", "twin").agg(*ends, F.first("v").alias("v"))
     # vectors of similar length together: a band is a factor of e^(1/4); doubles have a few thousand bands
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     band = F.floor(4 * F.greatest(F.lit(-400.0), F.least(F.lit(400.0), F.log(length))) + 0.5).cast("long") + 2048
-    sound = sound.withColumn("band", F.size("v").cast("long") * (1 << 32) + band * (1 << 18))
+    sound = checkpointed(sound.withColumn("band", F.size("v").cast("long") * (1 << 32) + band * (1 << 18)))
     counts = sound.groupBy("band").count().collect()
     parts = {r["band"]: -(-r["count"] // settings.shard_rows) for r in counts}
     shards = sum(parts.values())
     own = F.create_map(*(F.lit(x) for pair in parts.items() for x in pair))[F.col("band")] if parts else F.lit(1)
-    dealt = sound.withColumn("shard", F.col("band") + F.pmod(F.xxhash64("vec_id", F.lit(settings.seed)), own)).drop("band")
-    dealt = dealt.repartition(max(shards, 2), "shard").sortWithinPartitions("shard", "vec_id", "v")
+    dealt = sound.withColumn("shard", F.col("band") + F.pmod(F.xxhash64("node", F.lit(settings.seed)), own)).drop("band")
+    dealt = dealt.repartition(max(shards, 2), "shard").sortWithinPartitions("shard", "first", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "shard"):
@@ -229,15 +247,16 @@ def build(rows: DataFrame, settings: Settings = Settings(), *, key: str = "vec_i
             width = edges.shape[1]
             lists = pa.ListArray.from_arrays(np.arange(len(edges) + 1, dtype=np.int32) * width, pa.array(edges.ravel()))
             place = pa.array(np.arange(len(edges), dtype=np.int32))
-            columns = [group.column("shard"), place, group.column("vec_id"), group.column("v"), lists]
-            yield from pa.table(columns, ["shard", "place", "vec_id", "v", "edges"]).to_batches(max_chunksize=2048)
+            columns = [group.column("shard"), place, *(group.column(c) for c in ("node", "twin", "first", "last", "v")), lists]
+            names = ["shard", "place", "node", "twin", "first", "last", "v", "edges"]
+            yield from pa.table(columns, names).to_batches(max_chunksize=2048)
 
-    schema = "shard long, place int, vec_id long, v array<double>, edges array<int>"
-    return checkpointed(dealt.mapInArrow(run, schema))
+    schema = "shard long, place int, node long, twin long, first long, last long, v array<double>, edges array<int>"
+    return Index(checkpointed(dealt.mapInArrow(run, schema)), ids)
 
 
 def search(
-    index: DataFrame, queries: DataFrame, k: int, settings: Settings = Settings(), *, key: str = "vec_id", vector: str = "embedding"
+    index: Index, queries: DataFrame, k: int, settings: Settings = Settings(), *, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` points of largest inner product found for each query, but not itself.
 
@@ -251,11 +270,13 @@ def search(
     asked = asked.where(F.col("vec_id").isNotNull() & _sound("v"))
     asked = checkpointed(asked.dropDuplicates(["vec_id"]))
     blocks = max(1, -(-asked.count() // settings.query_rows))
-    names = index.select("shard").distinct()
+    names = index.points.select("shard").distinct()
     shards = max(1, names.count())
     none = F.lit(None)
-    points = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    points = points.select("shard", "block", F.lit(False).alias("asks"), "place", "vec_id", "v", "edges")
+    points = index.points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    points = points.select(
+        "shard", "block", F.lit(False).alias("asks"), "place", F.col("first").alias("vec_id"), "last", "node", "twin", "v", "edges"
+    )
     # each query goes to every shard of its length
     lists = names.groupBy(F.expr("shard >> 32").cast("int").alias("dims")).agg(F.collect_list("shard").alias("shards"))
     asking = (
@@ -267,6 +288,9 @@ def search(
             F.lit(True).alias("asks"),
             none.cast("int").alias("place"),
             "vec_id",
+            none.cast("long").alias("last"),
+            none.cast("long").alias("node"),
+            none.cast("long").alias("twin"),
             "v",
             none.cast("array<int>").alias("edges"),
         )
@@ -281,6 +305,7 @@ def search(
             if n == 0 or n == len(asks):
                 continue
             vectors, ids = _matrix(group.column("v").chunk(0)), group.column("vec_id").to_numpy()
+            last, node, twin = (group.column(c).slice(0, n).to_numpy() for c in ("last", "node", "twin"))
             edges = _matrix(group.column("edges").chunk(0).slice(0, n))
             graph = Graph(vectors[:n], settings, edges)
             for start in range(n, len(asks), settings.batch):
@@ -288,17 +313,24 @@ def search(
                 wide = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
                 place, _ = graph.search(wide, max(settings.search_beam, k + 1))
                 score = np.einsum("md,mbd->mb", q, vectors[:n][np.maximum(place, 0)])
-                own = ids[:n][np.maximum(place, 0)]
-                score = np.where((place < 0) | (own == q_ids[:, None]), -np.inf, score)
-                best = np.lexsort((own, -score))[:, :k]
+                first = ids[:n][np.maximum(place, 0)]
+                alone = (first == q_ids[:, None]) & (last[np.maximum(place, 0)] == q_ids[:, None])
+                score = np.where((place < 0) | alone, -np.inf, score)
+                best = np.lexsort((first, -score))[:, : k + 1]
                 rows, columns = np.nonzero(np.isfinite(np.take_along_axis(score, best, 1)))
                 chosen = best[rows, columns]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[rows]), pa.array(own[rows, chosen]), pa.array(score[rows, chosen])],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    found = both.mapInArrow(run, "query_id long, vec_id long, score double")
+                at = place[rows, chosen]
+                arrays = [q_ids[rows], node[at], twin[at], first[rows, chosen], score[rows, chosen]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["query_id", "node", "twin", "first", "score"])
+
+    found = both.mapInArrow(run, "query_id long, node long, twin long, first long, score double")
+    # k + 1 vectors, by their smallest ids where they tie, hold k ids besides the query's own; so do k + 1 ids of each
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "first")
+    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1).drop("rank", "first")
+    smallest = Window.partitionBy("node", "twin").orderBy("vec_id")
+    ids = index.ids.withColumn("nth", F.row_number().over(smallest)).where(F.col("nth") <= k + 1).drop("nth")
+    found = found.join(checkpointed_lookup(ids), ["node", "twin"]).where("vec_id != query_id")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -351,6 +351,26 @@ def test_neighbours_are_found(spark, scaled):
     assert found / (20 * len(got)) >= 0.9
 
 
+@pytest.mark.parametrize(("alone", "copies"), [(0, 60), (600, 60), (600, 3000)])
+def test_copies_hide_no_neighbours(spark, alone, copies):
+    rng = np.random.default_rng(16)
+    x = rng.normal(size=(alone + 1, 16)).astype(np.float32)
+    x = np.concatenate([x, np.repeat(x[-1:], copies - 1, axis=0)])
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0) for i, v in enumerate(x)], VECTORS)
+    asked = df.where(f"vec_id % 40 = 0 and vec_id <= {alone + 40}")
+    out = neighbours.search(neighbours.build(df), asked, 20).collect()
+    exact = x.astype(float) @ x.astype(float).T
+    got = defaultdict(set)
+    for r in out:
+        got[r.query_id].add(r.vec_id)
+    found = 0
+    for q in range(0, alone + 41, 40):
+        order = [i for i in np.lexsort((np.arange(len(x)), -exact[q])).tolist() if i != q][:20]
+        assert len(got[q]) == 20
+        found += len(got[q] & set(order))
+    assert found >= 0.95 * 20 * len(got)
+
+
 def test_few_or_no_candidates(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0], 0, 0) for i in range(4)], VECTORS)
     out = neighbours.search(neighbours.build(df), df.where("vec_id = 0"), 20).collect()
