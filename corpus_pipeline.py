@@ -48,15 +48,24 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of the mix: files one after another, and rows within them."""
+    return _in_mix_order(docs)
+
+
+def _in_mix_order(docs: DataFrame) -> DataFrame:
+    """A mix depends on the rows alone, not on their files or order, so that whoever mixes the same rows gets it again."""
     names = {n: fresh(docs, f"mix_{n}") for n in ("block", "slot", "release", "deadline", "place")}
     placed = mixing.mix(docs, MIX_WEIGHTS, default_weight=DEFAULT_WEIGHT, block_rows=BLOCK_ROWS, names=names)
     return placed.orderBy(names["slot"], names["place"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document, with its ids and its place in a sequence of at most 4,096 tokens."""
+    """One row per piece of a document, with its ids and its place in a sequence of at most 4,096 tokens.
+
+    Sequences follow the mix. Since a scan deals files and parts of them to tasks by their sizes, the order of the mix is
+    made anew.
+    """
     importable(spark)
-    return packing.pack(docs.select("doc_id", "source", "text"), vocabulary("word_bpe_49k.json")).select(
+    return packing.pack(_in_mix_order(docs).select("doc_id", "source", "text"), vocabulary("word_bpe_49k.json")).select(
         "doc_id", "source", "piece.*"
     )
 

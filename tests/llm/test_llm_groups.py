@@ -429,6 +429,32 @@ def test_stages_equal_brute_force(spark):
     assert mixed == [r.doc_id for r in sorted(placed.collect(), key=lambda r: (r.slot, r.place))]
 
 
+def test_sequences_follow_the_mix_whatever_the_files(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    words = F.concat_ws(" ", F.array_repeat(F.lit("some words"), 20))
+    source = F.when(F.col("id") < 300, "src0").when(F.col("id") < 340, "src1").otherwise("src2")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), source.alias("source"), words.alias("text")).cache()
+    names = {"block": "b"}
+    placed = mixing.mix(docs, queries.MIX_WEIGHTS, default_weight=queries.DEFAULT_WEIGHT, block_rows=queries.BLOCK_ROWS, names=names)
+    want = [r.doc_id for r in sorted(placed.collect(), key=lambda r: (r.slot, r.place))]
+    out, at = str(tmp_path / "mixed"), 0
+    for size in (10, 200, 40, 150):  # files of unequal size
+        part = [(i, "src0" if i < 300 else "src1" if i < 340 else "src2", "some words " * 20) for i in want[at : at + size]]
+        spark.createDataFrame(part, docs.schema).coalesce(1).write.mode("append").parquet(out)
+        at += size
+    mixed = spark.read.parquet(out)
+    placed = mixing.mix(mixed, queries.MIX_WEIGHTS, default_weight=queries.DEFAULT_WEIGHT, block_rows=queries.BLOCK_ROWS, names=names)
+    want = [r.doc_id for r in sorted(placed.collect(), key=lambda r: (r.slot, r.place))]
+    pieces = dict(corpus_pipeline.STAGES)["pack_sequences"](spark, mixed, SF_DIR).collect()
+    assert len({p.sequence_id >> 40 for p in pieces}) > 1
+    ordered = sorted(pieces, key=lambda p: (p.sequence_id >> 40, want.index(p.doc_id), p.start))
+    assert list(dict.fromkeys(p.doc_id for p in ordered)) == want
+    spans = defaultdict(list)
+    for p in pieces:
+        spans[p.sequence_id >> 40].append(want.index(p.doc_id))
+    assert all(sorted(set(s)) == list(range(min(s), max(s) + 1)) for s in spans.values())
+
+
 def test_pipeline(spark):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     docs, kept = documents, {}
