@@ -9,7 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import html_text, language, lattice, mixing, neighbours, packing, pii, simhash, token_counts, toxicity
+from tallymark.llm import (
+    exact,
+    fill_middle,
+    html_text,
+    language,
+    lattice,
+    lexical,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from tallymark.llm.frames import held_out, importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +152,31 @@ def op5_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(neighbours.build(rows), rows.where("vec_id % 20 = 0"), 20)
 
 
+@query
+def op11_polynomial_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op12_range_maximum_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark"), 10)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fim = {c: F.col("fim").getField(c) for c in ("n", "form", "prefix_chars", "middle_chars", "output")}
+    output = fim.pop("output")
+    return fill_middle.transform(docs, keep_text=False).select(
+        "doc_id",
+        *(column.alias(name) for name, column in fim.items()),
+        F.sha2(output.cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(output, fim["form"]).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 _WEIGHT_SQL = "".join(f" WHEN '={source}' THEN {weight}" for source, weight in sorted(MIX_WEIGHTS.items()))
 
 SQL["op1_pfair_mix"] = f"""
@@ -206,3 +245,67 @@ WITH RECURSIVE rows_ AS (
 SELECT vec_id, (SELECT COUNT(*) FROM links WHERE x = vec_id) AS n_links, component_id, component_id = vec_id AS kept
 FROM found
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SQL["op11_polynomial_dedup"] = f"""
+WITH lowered AS (
+    SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+    doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM lowered
+"""
+
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_TERMS = _TERMS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")
+
+SQL["op12_range_maximum_search"] = f"""
+WITH listed AS (
+    SELECT doc_id, {_TERMS} AS terms FROM documents
+), sized AS (
+    SELECT doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM listed WHERE len(terms) > 0
+), whole AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized
+), held AS (
+    SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY doc_id, n, term
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, whole GROUP BY term
+), asked AS (
+    SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT)
+        AS score
+    FROM asked JOIN held USING (term) JOIN weighed USING (term), whole GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+SQL["op13_fill_in_middle"] = r"""
+WITH parts AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS words
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, words, CAST(len(words) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(words) + 1) AS x,
+        CAST('0x' || h[9:16] AS BIGINT) % (len(words) + 1) AS y, CAST('0x' || h[17:24] AS BIGINT) % 100 AS odds,
+        CAST('0x' || h[25:32] AS BIGINT) % 100 AS turn
+    FROM parts
+), cut AS (
+    SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR odds >= 50
+        THEN 'plain' WHEN turn < 80 THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(words[1:least(x, y)], '') AS p, array_to_string(words[least(x, y) + 1:greatest(x, y)], '') AS m,
+        array_to_string(words[greatest(x, y) + 1:], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM cut
+"""

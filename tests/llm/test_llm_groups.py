@@ -433,7 +433,7 @@ def test_sequences_follow_the_mix_whatever_the_files(spark, conf, tmp_path):
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     words = F.concat_ws(" ", F.array_repeat(F.lit("some words"), 20))
     source = F.when(F.col("id") < 300, "src0").when(F.col("id") < 340, "src1").otherwise("src2")
-    docs = spark.range(400).select(F.col("id").alias("doc_id"), source.alias("source"), words.alias("text")).cache()
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), source.alias("source"), words.alias("text"))
     names = {"block": "b"}
     placed = mixing.mix(docs, queries.MIX_WEIGHTS, default_weight=queries.DEFAULT_WEIGHT, block_rows=queries.BLOCK_ROWS, names=names)
     want = [r.doc_id for r in sorted(placed.collect(), key=lambda r: (r.slot, r.place))]

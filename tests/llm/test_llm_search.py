@@ -1,0 +1,251 @@
+"""Exact duplicates, ranked lexical search and fill-in-the-middle, each against a plain form."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallymark.llm import exact, fill_middle, lexical
+from tallymark.llm.frames import importable
+
+
+@pytest.fixture(scope="module", autouse=True)
+def workers(spark):
+    importable(spark)
+
+
+# --- exact duplicates -----------------------------------------------------------------------------------------------
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def plain_groups(rows):
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[lowered(text)].append(i)
+    out = Counter()
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        left = 1
+        for i in ids:
+            kept = left and i == keep
+            left -= bool(kept)
+            out[i, keep, len(ids), bool(kept), len(text.encode()), hashlib.sha256(text.encode()).hexdigest()] += 1
+    return out
+
+
+def test_hashes_compose():
+    rng = random.Random(3)
+    for size in (0, 1, 5, 1000, exact.CHUNK, exact.CHUNK + 1, 3 * exact.CHUNK + 17):
+        data = rng.randbytes(size)
+        value = [0] * 4
+        for byte in data[:2000]:
+            value = [(v * p + byte) % exact.PRIME for v, p in zip(value, exact.POINTS, strict=True)]
+        assert exact.text_hash(data[:2000]).tolist() == value
+        cut = rng.randint(0, size)
+        left, right = exact.text_hash(data[:cut]), exact.text_hash(data[cut:])
+        assert ((exact.shifted(left, size - cut) + right) % exact.PRIME).tolist() == exact.text_hash(data).tolist()
+
+
+def texts_with_copies():
+    rng = random.Random(5)
+    words = ["Ab", "aB", "ab", "É", "é", "x" * 200, " ", "\n", "0", "\x00"]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randint(0, 4))) for _ in range(300)]
+    texts += [None, "", None, "long " * 40_000, "LONG " * 40_000, "long " * 39_999 + "lonG!", "copy"] + ["Copy"] * 700
+    rows = [(None if i % 17 == 0 else i // 2, t) for i, t in enumerate(texts)]
+    return [*rows, (9, "copy"), (9, "copy"), (10_000, "twice"), (10_000, "twice"), (None, "lone"), (None, "LONE")]
+
+
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"huge": 150}, {"points": (1, 1, 1, 1)}, {"points": (0, 0, 0, 0), "huge": 150}],
+    ids=["plain", "in pieces", "sums of bytes collide", "last bytes collide"],
+)
+def test_groups_of_equal_texts(spark, options):
+    rows = texts_with_copies()
+    docs = spark.createDataFrame([(*r, 1, "h") for r in rows], "doc_id long, text string, spot int, hash string").repartition(5)
+    out = exact.group(docs, **options)
+    assert out.columns == ["doc_id", "keep_id", "group_size", "kept", "n_bytes", "text_sha256"]
+    assert Counter(tuple(r) for r in out.collect()) == plain_groups(rows)
+
+
+def test_rows_that_stay(spark):
+    rows = texts_with_copies()
+    docs = spark.createDataFrame([(*r, 1, {"a": 1}) for r in rows], "doc_id long, text string, row int, chunks map<string,int>")
+    out = exact.keep_last(docs)
+    assert out.columns == docs.columns
+    found = out.collect()
+    want = Counter((r[1], r[5]) for r in plain_groups(rows) if r[3])
+    assert Counter((r.doc_id, hashlib.sha256(lowered(r.text).encode()).hexdigest()) for r in found) == want
+
+
+def test_no_documents_have_no_groups(spark):
+    assert exact.group(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert exact.keep_last(spark.createDataFrame([], "doc_id string, text string, n int")).count() == 0
+
+
+# --- ranked search --------------------------------------------------------------------------------------------------
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered(text))
+
+
+def plain_ranking(docs, items, k):
+    counted = [(i, Counter(terms(t))) for i, t in docs]
+    sizes = [sum(c.values()) for _, c in counted]
+    n_docs, length = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(t for _, c in counted for t in c)
+    out = Counter()
+    for item, text in items:
+        scored = []
+        for (i, c), n in zip(counted, sizes, strict=True):
+            score = 0
+            for t in set(terms(text)) & c.keys():
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * (10 + 90 * n * n_docs // length)))
+            if score > 0:
+                scored.append((-score, i is None, i or 0))
+        for rank, (score, none, i) in enumerate(sorted(scored)[:k], 1):
+            out[item, rank, None if none else i, -score] += 1
+    return out
+
+
+def test_terms_of_a_text():
+    rng = random.Random(2)
+    text = "".join(rng.choice("aBZ019 \t\n./:@[`{~\x7f\x80éß中\U0001f642") for _ in range(5000)) + "x" * 300
+    for step in (1, 7, 100, 1 << 20):
+        found = [t.decode() for part in lexical.terms_of(text.encode(), step) for t in part]
+        assert found == terms(text)
+    assert [t for p in lexical.terms_of(b"") for t in p] == []
+
+
+@pytest.mark.parametrize("shape", [(1 << 14, 1 << 20), (7, 1 << 20), (100, 40)], ids=["one shard", "small", "few postings"])
+def test_ranking_equals_scoring_everything(spark, shape):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(40)] + ["É", "x1"]
+    share = [1 / (i + 1) for i in range(len(vocabulary))]
+    docs = [(i, " ".join(rng.choices(vocabulary, share, k=rng.randint(0, 60)))) for i in range(400)]
+    docs += [(i, "w3 w4 w9") for i in range(1000, 1100)] + [(None, "w3 W4 w9"), (None, "w30 w31"), (5, docs[5][1]), (None, None)]
+    rng.shuffle(docs)
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(1, 9)))) for i in range(25)]
+    items += [(90, None), (91, ""), (92, "nowhere"), (3, "w1, w1; W3"), (3, "w39 w3 w9"), (None, "w4"), (94, docs[0][1])]
+    left = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, item int").repartition(3)
+    right = spark.createDataFrame([(*i, 0) for i in items], "item_id long, text string, score int")
+    found = lexical.search(left, right, 10, shard_docs=shape[0], shard_postings=shape[1])
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    want = plain_ranking(docs, items, 10)
+    assert Counter(tuple(r) for r in found.collect()) == want
+    again = lexical.search(left, right, 10, shard_docs=shape[0], item_bytes=100)
+    assert Counter(tuple(r) for r in again.collect()) == want
+
+
+@pytest.mark.parametrize("leaf", [0, 5, 10_000])
+def test_search_of_a_shard(leaf):
+    rng = np.random.default_rng(4)
+    n_docs, n_terms = 300, 12
+    held = rng.random((n_docs, n_terms)) < np.linspace(0.02, 0.9, n_terms)
+    docs, words = np.nonzero(held)
+    impacts = rng.integers(1, 6, len(docs))  # few values, many ties
+    shard = lexical.Shard(n_docs, docs, words, impacts, n_terms)
+    whole = np.zeros((n_docs, n_terms), np.int64)
+    whole[docs, words] = impacts
+    for k in (1, 10, 400):
+        for _ in range(20):
+            asked = rng.choice(n_terms, rng.integers(1, n_terms), replace=False)
+            weights = rng.integers(0, 4, len(asked))
+            scores = whole[:, asked] @ weights
+            want = sorted(((int(-s), d) for d, s in enumerate(scores) if s > 0))[:k]
+            assert shard.search(asked, weights, k, leaf) == [(-s, d) for s, d in want]
+
+
+def test_maxima_of_ranges():
+    rng = np.random.default_rng(1)
+    words = np.repeat([0, 1, 2], [1, 50, 130])
+    docs, impacts = np.concatenate([np.arange(n) for n in (1, 50, 130)]), rng.integers(0, 9, 181)
+    shard = lexical.Shard(130, docs, words, impacts, 3)
+    for start in range(181):
+        first = np.searchsorted(shard._ends, start, "right")
+        for end in range(start + 1, shard._ends[first] + 1):
+            peak = shard.peaks(np.array([start]), np.array([end]))[0]
+            assert start <= peak < end and shard._impacts[peak] == shard._impacts[start:end].max()
+
+
+def test_an_interval_without_a_chance_is_not_searched(monkeypatch):
+    docs = np.arange(4096)
+    impacts = np.ones(4096, np.int64)
+    impacts[[17, 4000]] = 50
+    shard, looks = lexical.Shard(4096, docs, np.zeros(4096, int), impacts, 1), []
+    peaks = shard.peaks
+    monkeypatch.setattr(shard, "peaks", lambda s, e: looks.append(1) or peaks(s, e))
+    assert shard.search(np.array([0]), np.array([3]), 2, leaf=1) == [(150, 17), (150, 4000)]
+    assert len(looks) <= 5
+
+
+def test_search_of_nothing(spark):
+    none, one = (spark.createDataFrame(r, "doc_id long, text string") for r in ([], [(1, "a b")]))
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    assert lexical.search(none, items).count() == 0
+    assert lexical.search(one, items.limit(0)).count() == 0
+    assert lexical.search(one.withColumn("text", F.lit(None).cast("string")), items).count() == 0
+
+
+# --- fill in the middle ---------------------------------------------------------------------------------------------
+
+WORDS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def odd_texts():
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(["a", "é", "中", "\U0001f642", " ", "\n", " ", "word"], k=rng.randint(0, 80))) for _ in range(200)]
+    texts += [None, "", " ", "\n\t ", "x", "x ", " x", "a<P>b", "<S>", "c <M>", "<", "ends <", "<S <P", "a" * 5000]
+    texts += ["one two " * 40_000, "wide   " * 10 + "x" * 10_000 + " narrow" * 5000 + " " * 3000 + "e fé " * 9000]
+    return texts
+
+
+def test_every_offset_is_exact():
+    for text in odd_texts():
+        want = [0, *(m.end() for m in WORDS.finditer(text or ""))]
+        for step in (7, 1000, 1 << 20) if len(text or "") < 1000 else (1 << 10, 1 << 20):
+            index = fill_middle.RankIndex(text or "", step=step)
+            assert len(index) == len(want) - 1
+            ranks = range(len(want)) if len(want) < 2000 else random.Random(1).sample(range(len(want)), 2000)
+            assert all(index.offset(k) == want[k] for k in ranks)
+            assert all(abs(index.predicted(k) - want[k]) <= fill_middle.ERROR + 1 for k in ranks)
+    assert fill_middle.RankIndex("one two " * 40_000).segments < 5
+
+
+def plain_form(i, text):
+    text = text or ""
+    words = WORDS.findall(text)
+    h = hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * j : 8 * j + 8], 16) for j in range(4))
+    if text == "" or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 50:
+        return len(words), "plain", None, None, text
+    a, b = sorted((h1 % (len(words) + 1), h2 % (len(words) + 1)))
+    p, m, s = "".join(words[:a]), "".join(words[a:b]), "".join(words[b:])
+    if h4 % 100 < 80:
+        return len(words), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(words), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_forms_equal_a_plain_rewrite_and_can_be_undone(spark):
+    rows = [(None if i % 40 == 3 else 7 * i, t, "r", 2) for i, t in enumerate(odd_texts() + ["two words"] * 200)]
+    docs = spark.createDataFrame([*rows, rows[-1]], "doc_id long, text string, FIM string, first int")
+    out = fill_middle.transform(docs)
+    assert out.columns == ["doc_id", "text", "first", "fim"]
+    back = out.withColumn("back", fill_middle.restored(F.col("fim.output"), F.col("fim.form"))).collect()
+    assert len(back) == len(rows) + 1 and {r.fim.form for r in back} == {"plain", "psm", "spm"}
+    for r in back:
+        assert tuple(r.fim) == plain_form(r.doc_id, r.text) and r.back == (r.text or "") and r.first == 2
+    assert fill_middle.transform(docs.limit(0)).count() == 0
+    assert fill_middle.transform(docs, keep_text=False).columns == ["doc_id", "first", "fim"]
