@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import shift_zone
 from tallymark.functions.text import register_reverse_string
-from tallymark.operators import aggregates, filters, joins, quality, reconcile
+from tallymark.operators import aggregates, checksums, filters, joins, quality, reconcile
 from tallymark.operators.audit import AuditTrail
 from tallymark.plans import retail, sales
 from tallymark.sources import catalog, readers, scope, writers
@@ -1015,6 +1015,53 @@ def retail_job_view(spark, sf_dir):
         catalog.use_database(spark, before)
 
 
+# --- many periods, checksums ------------------------------------------------------------------------------------------
+
+
+@query(
+    """SELECT range_id, l_suppkey AS product_id, COALESCE(SUM(CASE WHEN l_returnflag = 'A' AND l_linenumber = 7
+    THEN CAST('nan' AS DOUBLE) WHEN l_returnflag = 'N' AND l_linenumber = 6 THEN CAST('inf' AS DOUBLE) END),
+    COALESCE(SUM(CASE WHEN l_linenumber = 5 THEN CAST(100000000000000000 AS DOUBLE) END), 0)
+    + COALESCE(SUM(CASE WHEN l_linenumber <> 5 THEN l_quantity END), 0)) AS total_sales
+    FROM (SELECT CAST(i AS INTEGER) AS range_id, CAST(DATE '1995-01-01' + CAST(i AS INTEGER) AS DATE) AS d
+    FROM range(2500) t(i)) p JOIN lineitem ON CAST(l_shipdate AS DATE) = d GROUP BY range_id, l_suppkey"""
+)
+def one_day_periods(spark, sf_dir):
+    odd = F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7), float("nan"))
+    odd = odd.when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 6), float("inf"))
+    amount = odd.when(F.col("l_linenumber") == 5, 1e17).otherwise(F.col("l_quantity"))
+    days = [datetime.date(1995, 1, 1) + datetime.timedelta(days=i) for i in range(2500)]
+    periods = sales.periods_frame(spark, [(i, d, d) for i, d in enumerate(days)])
+    return sales.sales_totals_per_period(lines(spark, sf_dir, amount, F.col("l_suppkey")), periods, scale=2)
+
+
+_LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query(
+    f"""SELECT {", ".join(_LINE_KEY)}, CASE WHEN COUNT(*) > 1 THEN 'repeated' ELSE 'changed' END AS status FROM lineitem
+    GROUP BY {", ".join(_LINE_KEY)} HAVING MAX(l_extendedprice) = (SELECT MAX(l_extendedprice) FROM lineitem)"""
+)
+def tree_diff_lines(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    dearest = rows.agg(F.max("l_extendedprice")).first()[0]
+    price = F.col("l_extendedprice")
+    second = rows.withColumn("l_extendedprice", F.when(price == dearest, price + 1).otherwise(price))
+    return checksums.tree_diff(rows, second, _LINE_KEY).select(*_LINE_KEY, "status")
+
+
+@query("""SELECT doc_id, 'changed' AS status FROM documents WHERE lang = 'es' AND source = 'src1'""")
+def tree_diff_maps(spark, sf_dir):
+    # the second version has the entries of every map the other way round, and another value in some
+    rows = table(spark, sf_dir, "documents")
+    lang, source = F.col("lang"), F.col("source")
+    other = F.when((lang == "es") & (source == "src1"), F.lit("es?")).otherwise(lang)
+    about = F.struct(F.array(source, lang).alias("both"), F.col("n_chars"))
+    left = rows.select("doc_id", about.alias("about"), F.create_map(F.lit("lang"), lang, F.lit("source"), source).alias("m"))
+    right = rows.select("doc_id", about.alias("about"), F.create_map(F.lit("source"), source, F.lit("lang"), other).alias("m"))
+    return checksums.tree_diff(left, right, ["doc_id"]).select("doc_id", "status")
+
+
 # --- operators of a training-data pipeline, if they are there ---------------------------------------------------------
 
 

@@ -42,6 +42,28 @@ def row_fingerprint(schema: StructType, columns: Sequence[str], seed: int = 0) -
     return F.xxhash64(F.lit(seed), *nulls, *(_hashable(F.col(f"`{c}`"), schema[c].dataType, seed) for c in columns))
 
 
+def holds_map(kind: DataType) -> bool:
+    """Whether values of this type are or contain maps, which Spark does not compare."""
+    if isinstance(kind, MapType):
+        return True
+    if isinstance(kind, ArrayType):
+        return holds_map(kind.elementType)
+    return isinstance(kind, StructType) and any(holds_map(f.dataType) for f in kind)
+
+
+def comparable(value: Column, kind: DataType) -> Column:
+    """``value`` with every map in it, at any depth, as the sorted array of its entries: maps are equal if these are."""
+    if not holds_map(kind):
+        return value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: comparable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        parts = (comparable(value.getField(f.name), f.dataType).alias(f.name) for f in kind)
+        return F.when(value.isNotNull(), F.struct(*parts))
+    entry = StructType([StructField("key", kind.keyType), StructField("value", kind.valueType)])
+    return F.array_sort(F.transform(F.map_entries(value), lambda x: comparable(x, entry)))
+
+
 def _hashable(value: Column, kind: DataType, seed: int) -> Column:
     """``value`` itself, or for a nested one a text of hashes in which NULLs, borders and sizes show."""
     if isinstance(kind, ArrayType):

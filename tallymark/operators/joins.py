@@ -10,16 +10,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.numbers import kept_decimal
+from tallymark.functions.numbers import exact_parts, exact_total
 from tallymark.functions.size import row_bytes
 from tallymark.operators.audit import counted
 from tallymark.sources.scope import checkpointed
 
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_PERIODS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -115,6 +114,33 @@ def days_of_periods(periods: DataFrame, range_id: str = "range_id", start: str =
     return periods.select(range_id, F.explode(days).alias("day"))
 
 
+# Days are numbered from 1970; no two dates of the calendar lie 2^22 days apart.
+_LEVELS = 22
+
+
+def cover_of_periods(periods: DataFrame, range_id: str = "range_id", start: str = "s", end: str = "e") -> DataFrame:
+    """``range_id, level, node``: the fewest intervals of 1, 2, 4 … days that make up each period.
+
+    An interval of ``level`` holds the 2^``level`` days whose number shifted by ``level`` is ``node``. A period of ``n`` days
+    is made of at most two of each level, fewer than ``2 log2(n) + 2``; an inverted period of none.
+    """
+    origin = F.lit("1970-01-01").cast("date")
+    bounds = periods.filter(F.col(start) <= F.col(end)).select(
+        F.col(range_id),
+        F.date_diff(F.col(start).cast("date"), origin).alias("_first"),
+        (F.date_diff(F.col(end).cast("date"), origin) + 1).alias("_behind"),
+    )
+    levels = bounds.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))))
+    # whole intervals of the level inside the period: from the rounded-up start to the rounded-down end
+    low, high = F.expr("-shiftright(-_first, level)"), F.expr("shiftright(_behind, level)")
+    inside = levels.select(range_id, "level", low.alias("_low"), high.alias("_high")).where("_low < _high")
+    # those at an odd border have no parent inside the period
+    ends = F.array_compact(
+        F.array(F.when(F.expr("_low & 1 = 1"), F.col("_low")), F.when(F.expr("_high & 1 = 1"), F.col("_high") - 1))
+    )
+    return inside.select(range_id, "level", F.explode(ends).alias("node"))
+
+
 def totals_per_period(
     df: DataFrame,
     periods: DataFrame,
@@ -130,78 +156,35 @@ def totals_per_period(
 ) -> DataFrame:
     """Sum of ``value`` per period and key for many, possibly overlapping, periods in one read of ``df``.
 
-    With ``scale`` rows are summed per key and day, and a period is the difference of two running totals of its key, at
-    its last day and before its first: a key then has as many rows as days and twice as many as periods, however much
-    the periods overlap. Differences of running totals are exact for decimals only. Without ``scale``, and for more than
-    ``MAX_PERIODS`` periods, rows meet the periods day by day instead, as follows.
+    A range condition has no key to hash on and would compare every row with every period. Instead days form a hierarchy
+    of intervals of 1, 2, 4 … days, and each period is made of a few of them (:func:`cover_of_periods`). Rows are summed
+    per key and day, these sums per key and interval, for intervals that some period needs, and the intervals meet the
+    periods by equality. So a key costs as much as it has days, times the levels in use, and results, however many periods
+    there are and however much they overlap. Totals are only ever added, never subtracted: they are right for doubles,
+    NaN and Infinity, and with ``scale`` equal those of :func:`exact_sum`.
 
-    A range condition has no key to hash on and would compare every row with every period, so rows meet the periods by
-    equality on the day. Days that lie in the same periods form one segment: each row is told its segment by a broadcast
-    of the days, rows are summed per key and segment before and after one shuffle, and only these few sums are copied to
-    the periods of their segment. Periods whose days do not fit a broadcast are joined to sums per key and day instead.
-    The outer bounds of all periods go to the scan as a filter.
+    Intervals and periods are broadcast where they are proven small, and joined by a shuffle otherwise. The outer bounds of
+    all periods go to the scan as a filter.
     """
-    n_days = F.greatest(F.date_diff(end, start) + 1, F.lit(0)).cast("long")
-    about = periods.agg(
-        F.min(start).cast("date").alias("first"),
-        F.max(end).cast("date").alias("last"),
-        F.coalesce(F.sum(n_days), F.lit(0)).alias("n_pairs"),
-        F.coalesce(F.sum(n_days * row_bytes(periods.select(range_id, start))), F.lit(0)).alias("n_bytes"),
-        F.count("*").alias("n_periods"),
+    cover = checkpointed(cover_of_periods(periods, range_id, start, end))
+    about = periods.agg(F.min(start).cast("date").alias("first"), F.max(end).cast("date").alias("last")).first()
+    used = cover.agg(
+        F.sort_array(F.collect_set("level")).alias("levels"), F.count("*").alias("n"), F.sum(row_bytes(cover)).alias("bytes")
     ).first()
     day = F.col(date).cast("date")
-    # decimal sums stay decimal until the end, so that both steps are exact
-    amount = F.col(value) if scale is None else kept_decimal(F.col(value), scale)
     rows = df.filter(day.between(F.lit(about["first"]), F.lit(about["last"]))).select(
-        *keys, day.alias("day"), amount.alias("_amount")
+        *keys, F.date_diff(day, F.lit("1970-01-01").cast("date")).alias("_day"), F.col(value).alias("_amount")
     )
-    if scale is not None and about.n_periods <= MAX_PERIODS:
-        found = periods.filter(F.col(start) <= F.col(end))
-        found = found.select(range_id, F.col(start).cast("date").alias("s"), F.col(end).cast("date").alias("e"))
-        return _by_running_totals(rows, found, keys, range_id, name)
-    pairs = days_of_periods(periods, range_id, start, end)
-    if about.n_pairs <= MAX_BROADCAST_ROWS and about.n_bytes <= MAX_BROADCAST_BYTES:
-        segments = _segments(pairs, range_id)
-        days = F.broadcast(segments.select("segment", F.explode("days").alias("day")))
-        parts = rows.join(days, "day").groupBy(*keys, "segment").agg(F.sum("_amount").alias("_part"))
-        parts = parts.join(F.broadcast(segments.select("segment", F.inline("ranges"))), "segment")
-    else:
-        parts = rows.groupBy(*keys, "day").agg(F.sum("_amount").alias("_part")).join(pairs, "day")
-    total = F.sum("_part") if scale is None else F.sum("_part").cast("double")
-    return parts.groupBy(range_id, *keys).agg(total.alias(name))
-
-
-def _by_running_totals(rows: DataFrame, periods: DataFrame, keys: Sequence[str], range_id: str, name: str) -> DataFrame:
-    """Totals of ``rows`` (keys, ``day``, ``_amount``) per period (``s``, ``e``) as differences of running totals."""
-    borders = F.array(
-        F.struct(F.col(range_id), F.col("e").alias("at"), F.lit(1).alias("sign")),
-        F.struct(F.col(range_id), F.date_sub("s", 1).alias("at"), F.lit(-1).alias("sign")),
-    )
-    all_borders = periods.agg(F.flatten(F.collect_list(borders))).scalar()
-    parts = rows.groupBy(*keys, "day").agg(
-        F.sum("_amount").alias("_sum"), F.count("*").alias("_rows"), F.count("_amount").alias("_values")
-    )
-    asked = parts.select(*keys).distinct().withColumn("_border", F.explode(all_borders))
-    asked = asked.select(*keys, F.col("_border.at").alias("day"), F.col("_border").alias("_border"))
-    ordered = Window.partitionBy(*keys).orderBy("day", F.col("_border").isNotNull()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    running = {c: F.sum(c).over(ordered) for c in ("_sum", "_rows", "_values")}
-    at_borders = parts.unionByName(asked, allowMissingColumns=True).withColumns(running).filter("_border is not null")
-    sign = F.col("_border.sign")
-    totals = at_borders.groupBy(*keys, F.col(f"_border.{range_id}").alias(range_id)).agg(
-        *(F.sum(F.coalesce(c, F.lit(0)) * sign).alias(c) for c in ("_sum", "_rows", "_values"))
-    )
-    total = F.when(F.col("_values") > 0, F.col("_sum").cast("double"))
-    return totals.filter(F.col("_rows") > 0).select(range_id, *keys, total.alias(name))
-
-
-def _segments(pairs: DataFrame, range_id: str) -> DataFrame:
-    """``ranges, days, segment``: the days that lie in exactly these periods, named by the first of them.
-
-    ``pairs`` is known to be small, so it is grouped in a single partition without a shuffle.
-    """
-    # as structs, because a list leaves out plain NULLs
-    ranges = F.sort_array(F.collect_list(F.struct(range_id))).alias("ranges")
-    by_day = pairs.coalesce(1).groupBy("day").agg(ranges)
-    return by_day.groupBy("ranges").agg(F.collect_list("day").alias("days"), F.min("day").alias("segment"))
+    sums = {"sum": F.sum("_amount")} if scale is None else exact_parts(F.col("_amount"), scale)
+    names = {part: f"_{part}" for part in sums}
+    merged = [F.sum(c).alias(c) for c in names.values()]
+    by_day = rows.groupBy(*keys, "_day").agg(*(sums[part].alias(c) for part, c in names.items()))
+    levels = F.explode(F.array(*map(F.lit, used["levels"])) if used["levels"] else F.array().cast("array<int>"))
+    nodes = by_day.select(*keys, *names.values(), "_day", levels.alias("level"))
+    nodes = nodes.select(*keys, *names.values(), "level", F.expr("shiftright(_day, level)").alias("node"))
+    wanted = broadcast_within(cover.select("level", "node").distinct(), used["n"], used["bytes"])
+    by_node = nodes.join(wanted, ["level", "node"], "left_semi").groupBy(*keys, "level", "node").agg(*merged)
+    parts = by_node.join(broadcast_within(cover, used["n"], used["bytes"]), ["level", "node"])
+    totals = parts.groupBy(range_id, *keys).agg(*merged)
+    total = F.col("_sum") if scale is None else exact_total({part: F.col(c) for part, c in names.items()}, scale)
+    return totals.select(range_id, *keys, total.alias(name))

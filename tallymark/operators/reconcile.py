@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from tallymark.functions.compare import changed_columns, row_fingerprint, values_match
+from tallymark.functions.compare import changed_columns, comparable, holds_map, row_fingerprint, values_match
 from tallymark.functions.numbers import exact_sum
 from tallymark.operators.audit import counted
 from tallymark.operators.filters import Day
@@ -24,7 +24,7 @@ from tallymark.operators.quality import require_columns
 from tallymark.sources.scope import checkpointed
 
 
-def _same_types(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+def same_types(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with the types of their union. Text against another type is compared as text."""
     for name in left.columns:
         is_text = [isinstance(df.schema[name].dataType, StringType) for df in (left, right)]
@@ -34,10 +34,15 @@ def _same_types(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame
     return tuple(df.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in types)) for df in (left, right))
 
 
+def both_sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The rows of both sides, with a column ``_is_left`` that tells the side."""
+    return left.withColumn("_is_left", F.lit(True)).unionByName(right.withColumn("_is_left", F.lit(False)))
+
+
 def _both(left: DataFrame, right: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """The given columns of the rows of both sides, with a column that tells the side."""
-    sides = _same_types(*(df.select(*columns) for df in (left, right))) if columns else (left.select(), right.select())
-    return sides[0].withColumn("_is_left", F.lit(True)).unionByName(sides[1].withColumn("_is_left", F.lit(False)))
+    sides = same_types(*(df.select(*columns) for df in (left, right))) if columns else (left.select(), right.select())
+    return both_sides(*sides)
 
 
 def _side(is_left: bool, value: Column) -> Column:
@@ -126,7 +131,7 @@ def keyed_diff(
     value. Two different rows would have to agree in both hashes to be missed.
     """
     columns = [c for c in (compare or left.columns) if c not in keys]
-    left, right = _same_types(*(require_columns(df, *keys, *columns).select(*keys, *columns) for df in (left, right)))
+    left, right = same_types(*(require_columns(df, *keys, *columns).select(*keys, *columns) for df in (left, right)))
     types = {c: left.schema[c].dataType for c in columns}
     numeric = [c for c in columns if isinstance(types[c], NumericType)]
     tolerances = tolerance if isinstance(tolerance, Mapping) else dict.fromkeys(numeric, tolerance)
@@ -162,7 +167,8 @@ def _diff_by_value(left, right, keys, columns, tolerances, with_values, only_dif
         )
     )
     single = (F.col("left_rows") == 1) & (F.col("right_rows") == 1)
-    pairs = {c: (F.col(f"left_{c}"), F.col(f"right_{c}")) for c in columns}
+    kinds = {c: left.schema[c].dataType for c in columns}
+    pairs = {c: tuple(comparable(F.col(f"{side}_{c}"), kinds[c]) for side in ("left", "right")) for c in columns}
     changed = F.when(single, changed_columns(pairs, tolerances) if pairs else F.array().cast("array<string>"))
     is_changed = single & (F.size("changed_columns") > 0)
     shown = [F.when(is_changed, F.col(n)).alias(n) for c in columns for n in (f"left_{c}", f"right_{c}")]
@@ -214,12 +220,14 @@ def _diff_by_hash(left, right, keys, columns, tolerances, with_values, only_diff
 def bag_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows whose number of copies differs: ``surplus`` > 0 on the left, < 0 on the right. Both directions in one pass."""
     columns = list(columns or left.columns)
-    return (
-        _both(left, right, [F.col(c) for c in columns])
-        .groupBy(*columns)
-        .agg(F.sum(F.when(F.col("_is_left"), 1).otherwise(-1)).alias("surplus"))
-        .filter(F.col("surplus") != 0)
+    rows = _both(left, right, [F.col(c) for c in columns])
+    maps = {c: rows.schema[c].dataType for c in columns if holds_map(rows.schema[c].dataType)}
+    # maps are grouped by their sorted entries
+    by = [comparable(F.col(c), maps[c]).alias(f"_by_{c}") if c in maps else F.col(c) for c in columns]
+    grouped = rows.groupBy(*by).agg(
+        F.sum(F.when(F.col("_is_left"), 1).otherwise(-1)).alias("surplus"), *(F.first(c).alias(c) for c in maps)
     )
+    return grouped.filter(F.col("surplus") != 0).select(*columns, "surplus")
 
 
 # A row with more copies than this is written out by several tasks.
@@ -239,7 +247,7 @@ def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
         surplus.filter(F.col("surplus") > COPIES_PER_TASK)
         .withColumn("_first", first)
         .withColumn("_copies", F.least(F.col("surplus") - F.col("_first"), F.lit(COPIES_PER_TASK)))
-        .repartition(*columns, "_first")
+        .repartition(row_fingerprint(surplus.schema, columns), "_first")
         .drop("_first")
     )
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))

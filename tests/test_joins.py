@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import datetime
 import random
 
 import pytest
 from conftest import physical_plan, rows
 from pyspark.sql import functions as F
 
+from tallymark.functions.numbers import exact_sum
 from tallymark.operators import joins
 from tallymark.plans.sales import periods_frame
 
@@ -121,6 +123,45 @@ def test_totals_per_period(spark, monkeypatch, name, broadcast):
     assert "NestedLoop" not in physical_plan(found) and "Cartesian" not in physical_plan(found)
 
 
+@pytest.mark.parametrize("periods", [[(1, "1969-12-20", "1970-01-09")], [(1, "0001-01-01", "9999-12-31"), (2, "2024-02-29", "2024-02-29")]])
+def test_intervals_cover_each_day_of_a_period_once(spark, periods):
+    cover = joins.cover_of_periods(periods_frame(spark, periods)).collect()
+    for i, start, end in periods:
+        first, last = (datetime.date.fromisoformat(d).toordinal() - datetime.date(1970, 1, 1).toordinal() for d in (start, end))
+        spans = sorted((r.node << r.level, (r.node + 1) << r.level) for r in cover if r.range_id == i)
+        assert spans[0][0] == first and spans[-1][1] == last + 1
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+        assert len(spans) <= 2 * (last - first + 1).bit_length()
+
+
+ODD = [0.5, float("nan"), float("inf"), -float("inf"), 1e17, 2e17, 1e20, None, 3.25]
+
+
+@pytest.mark.parametrize("scale", [None, 2])
+def test_odd_values_give_the_totals_of_a_plain_sum(spark, scale):
+    rows_ = [(k, f"2024-01-{1 + (i * 7 + k) % 28:02d}", v) for k in range(6) for i, v in enumerate(ODD[k:] + ODD[:k])]
+    df = spark.createDataFrame(rows_, "k int, d string, v double").withColumn("d", F.col("d").cast("date"))
+    periods = [(i, f"2024-01-{i:02d}", f"2024-01-{min(28, i + i % 9):02d}") for i in range(1, 29)]
+    found = joins.totals_per_period(df, periods_frame(spark, periods), keys=["k"], value="v", date="d", scale=scale)
+    want = {}
+    for i, start, end in periods:
+        inside = df.where(F.col("d").between(start, end))
+        total = F.sum("v") if scale is None else exact_sum(F.col("v"), scale)
+        want |= {(i, r.k): r.t for r in inside.groupBy("k").agg(total.alias("t")).collect()}
+    got = {(r.range_id, r.k): r.total_sales for r in found.collect()}
+    assert got.keys() == want.keys()
+    assert all(repr(got[x]) == repr(want[x]) or got[x] == pytest.approx(want[x], rel=1e-12) for x in want)
+
+
+def test_sparse_keys_make_no_row_for_each_period(spark):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int"))
+    df = spark.range(2000).select("id", day.alias("d"), F.lit(1.5).alias("v"))
+    days = [datetime.date(2024, 1, 1) + datetime.timedelta(i) for i in range(300)]
+    periods = periods_frame(spark, [(i, d, d) for i, d in enumerate(days)])
+    found = joins.totals_per_period(df, periods, keys=["id"], value="v", date="d", scale=2)
+    assert found.count() == 2000
+
+
 def test_hot_key_of_a_join_is_split(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
