@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import shift_zone
 from tallymark.functions.text import register_reverse_string
-from tallymark.operators import aggregates, checksums, filters, joins, quality, reconcile
+from tallymark.operators import aggregates, checksums, filters, heavy, joins, lineage, quality, reconcile, sketches
 from tallymark.operators.audit import AuditTrail
 from tallymark.plans import retail, sales
-from tallymark.sources import catalog, readers, scope, writers
+from tallymark.sources import catalog, clustered, readers, scope, writers
+from tallymark.sources.ledger import Ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -777,11 +778,23 @@ def outliers(spark, sf_dir):
 
 
 @query(
-    """SELECT lang, COUNT(*) AS n_docs, COUNT(CASE WHEN STRLEN(text) <> LENGTH(text) THEN 1 END) AS n_multibyte
-    FROM documents GROUP BY lang"""
+    """SELECT lang, COUNT(*) AS n_docs, COUNT(CASE WHEN STRLEN(text) <> LENGTH(text) THEN 1 END) AS n_multibyte,
+    CAST(0 AS BIGINT) AS n_invalid FROM documents GROUP BY lang"""
 )
 def multibyte_by_lang(spark, sf_dir):
-    return quality.text_encoding(table(spark, sf_dir, "documents"), "text", ["lang"]).drop("n_invalid")
+    return quality.text_encoding(table(spark, sf_dir, "documents"), "text", ["lang"])
+
+
+@query(
+    """SELECT source, COUNT(*) AS n_docs, COUNT(CASE WHEN lang = 'fr' THEN 1 END) AS n_invalid FROM documents
+    GROUP BY source"""
+)
+def invalid_by_source(spark, sf_dir):
+    # French texts end in a byte that begins a character and is not followed by the rest of it
+    broken = F.concat(F.coalesce("text", F.lit("")).cast("binary"), F.unhex(F.lit("C3"))).cast("string")
+    rows = table(spark, sf_dir, "documents")
+    rows = rows.withColumn("text", F.when(F.col("lang") == "fr", broken).otherwise(F.col("text")))
+    return quality.text_encoding(rows, "text", ["source"]).drop("n_multibyte")
 
 
 # Every word gets blanks of its own on both sides, so that neighbours do not share one.
@@ -803,6 +816,19 @@ def _script_sql() -> str:
     )
 
 
+# Comments and quoted texts, as in SQL scripts; DuckDB has no possessive forms and needs none.
+_NO_CODE = r"""'[^']*(?:'|\z)|"[^"]*(?:"|\z)|--[^\n]*|(?s:/\*.*?(?:\*/|\z))""".replace("'", "''")
+
+
+@query(
+    _script_sql().replace("FROM documents", "FROM (SELECT doc_id, text AS whole, "
+    f"regexp_replace(text, '{_NO_CODE}', ' ', 'g') AS text FROM documents) t")
+    .replace("string_split(text, chr(10))", "string_split(whole, chr(10))")
+)
+def script_metrics_of_code(spark, sf_dir):
+    return quality.script_metrics(table(spark, sf_dir, "documents").select("doc_id", "text"), code_only=True)
+
+
 @query(_script_sql())
 def script_metrics(spark, sf_dir):
     return quality.script_metrics(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -1062,6 +1088,126 @@ def tree_diff_maps(spark, sf_dir):
     return checksums.tree_diff(left, right, ["doc_id"]).select("doc_id", "status")
 
 
+# --- sketches, heavy keys, published loads, robust outliers --------------------------------------------------------------
+
+
+_PROFILED = ("l_quantity", "l_extendedprice", "l_partkey")
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_nulls,
+        CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value,
+        ROUND({_SUM.format(c)} / COUNT({c}), 4) AS mean_value, TRUE AS distinct_within, TRUE AS median_within
+        FROM lineitem WHERE {_IN_Q1}"""
+        for c in _PROFILED
+    )
+)
+def period_profile_from_sketches(spark, sf_dir):
+    name = scratch(spark, sf_dir, "daily_sketches")
+    rows = table(spark, sf_dir, "lineitem")
+    sketches.daily_sketches(rows, "l_shipdate", _PROFILED).write.mode("overwrite").saveAsTable(name)
+    found = sketches.profile_of_period(spark.table(name), *Q1_1998)
+    # the estimates against the rows themselves
+    medians = {r["column_name"]: r["quantiles"][1] for r in found.collect()}
+    inside = filters.in_period(rows, "l_shipdate", *Q1_1998)
+    exact = inside.agg(
+        *(
+            F.struct(
+                F.count_distinct(c).alias("n_distinct"),
+                F.avg((F.col(c) < medians[c]).cast("double")).alias("below"),
+                F.avg((F.col(c) <= medians[c]).cast("double")).alias("upto"),
+            ).alias(c)
+            for c in _PROFILED
+        )
+    ).unpivot([], list(_PROFILED), "column_name", "exact")
+    off = F.abs(F.col("n_distinct") - F.col("exact.n_distinct")) <= sketches.DISTINCT_BOUND * F.col("exact.n_distinct")
+    middle = (F.col("exact.below") - sketches.RANK_BOUND <= 0.5) & (F.col("exact.upto") + sketches.RANK_BOUND >= 0.5)
+    figures = ("n_rows", "n_nulls", "min_value", "max_value", F.round("mean_value", 4).alias("mean_value"))
+    return found.join(exact, "column_name").select(
+        "column_name", *figures, off.alias("distinct_within"), middle.alias("median_within")
+    )
+
+
+@query(
+    """SELECT c_name AS customer_name, c_mktsegment AS customer_segment, o_orderkey AS order_id, o_orderstatus AS order_status
+    FROM customer JOIN orders ON c_custkey = CASE WHEN o_orderstatus = 'F' THEN 1 ELSE o_custkey END"""
+)
+def customer_orders_heavy_apart(spark, sf_dir):
+    # a third of all orders is of one customer
+    key = F.when(F.col("order_status") == "F", 1).otherwise(F.col("customer_id"))
+    frames = {"customers": customers(spark, sf_dir), "orders": orders(spark, sf_dir).withColumn("customer_id", key)}
+    names = {name: scratch(spark, sf_dir, f"apart_{name}") for name in frames}
+    rows = {names[n]: df.select("customer_id", *(c for c in _SHOWN if c in df.columns)) for n, df in frames.items()}
+    heavy.write_apart(rows, "customer_id")
+    return heavy.join_apart(spark, names["orders"], names["customers"], "customer_id", columns=_SHOWN)
+
+
+def ledger_of(spark: SparkSession, sf_dir: str) -> tuple[Ledger, dict[str, str]]:
+    """A ledger and two targets without rows."""
+    names = {n: scratch(spark, sf_dir, f"published_{n}") for n in ("ledger", "summary", "detail", "source")}
+    spark.sql(f"DROP TABLE IF EXISTS {names['ledger']}")
+    ledger = Ledger(spark, names.pop("ledger"))
+    for target in ("summary", "detail"):
+        ledger.create_target(names[target], DETAIL_SCHEMA)
+    lines_with_nulls(spark, sf_dir).write.mode("overwrite").saveAsTable(names["source"])
+    return ledger, names
+
+
+@query(_DETAIL)
+def published_load(spark, sf_dir):
+    ledger, names = ledger_of(spark, sf_dir)
+    # a run that broke off between its writes, a run that a later one of the same period replaces, and that later run
+    broken = sales.sales_totals(spark.table(names["source"]), "1998-01-01", "1998-06-30", scale=2)
+    ledger.stage(broken, names["summary"], job="process_sales_data", scope="broken", run_id="r0")
+    for run in ("r1", "r2"):
+        sales.process_sales_data_published(*Q1_1998, spark, ledger=ledger, run_id=run, **names, scale=2)
+    return ledger.read(names["detail"])
+
+
+@query(
+    """SELECT o_orderkey FROM orders JOIN (SELECT o_orderpriority AS g, MEDIAN(o_totalprice) AS m, MAD(o_totalprice) AS d
+    FROM orders GROUP BY o_orderpriority) t ON o_orderpriority = g WHERE 0.6745 * ABS(o_totalprice - m) > 1.2 * d"""
+)
+def robust_outliers(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders")
+    return quality.robust_outliers(rows, ["o_orderpriority"], "o_totalprice", cutoff=1.2).select("o_orderkey")
+
+
+@query("SELECT l_suppkey, l_returnflag, MEDIAN(l_extendedprice) AS median FROM lineitem GROUP BY l_suppkey, l_returnflag")
+def exact_medians(spark, sf_dir):
+    return quality.exact_medians(table(spark, sf_dir, "lineitem"), ["l_suppkey", "l_returnflag"], "l_extendedprice")
+
+
+@query(
+    f"""SELECT l_suppkey, {_SALES} AS total_sales, {_SALES} AS retraced, COUNT(DISTINCT l_returnflag || l_linestatus) AS n_parts
+    FROM lineitem GROUP BY l_suppkey"""
+)
+def totals_traced_to_files(spark, sf_dir):
+    name, keys = scratch(spark, sf_dir, "lines_by_flag"), ["l_suppkey"]
+    writers.write_partitioned(table(spark, sf_dir, "lineitem"), name, ["l_returnflag", "l_linestatus"])
+    rows = spark.table(name)
+    files = lineage.numbered_files(rows)
+    totals = scope.checkpointed(lineage.traced_totals(rows, files, keys, "l_extendedprice"))
+    again = lineage.retraced_totals(rows, totals, files, keys, "l_extendedprice").drop("sources", "same")
+    part = F.regexp_extract("file", "l_returnflag=[^/]*/l_linestatus=[^/]*", 0)
+    parts = lineage.sources_of(totals, files, keys).groupBy(*keys).agg(F.count_distinct(part).alias("n_parts"))
+    return again.join(parts, keys)
+
+
+@query(
+    f"""SELECT l_suppkey, COUNT(*) AS n, {_SALES} AS total FROM lineitem
+    WHERE {_IN_Q1} OR l_partkey BETWEEN 100 AND 120 GROUP BY l_suppkey"""
+)
+def clustered_lines(spark, sf_dir):
+    name = scratch(spark, sf_dir, "lines_clustered")
+    clustered.write_clustered(table(spark, sf_dir, "lineitem"), name, ["l_shipdate", "l_partkey"], files=16)
+    either = filters.period_condition(F.col("l_shipdate"), *Q1_1998) | F.col("l_partkey").between(100, 120)
+    return aggregates.count_and_total_by(
+        spark.table(name).where(either), ["l_suppkey"], "l_extendedprice", count_name="n", total_name="total", scale=2
+    )
+
+
 # --- operators of a training-data pipeline, if they are there ---------------------------------------------------------
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallymark.functions.dates import is_iso_date
 from tallymark.functions.numbers import exact_sum, safe_number
-from tallymark.functions.text import is_multibyte, words_in
+from tallymark.functions.text import code_of, is_multibyte, words_in
 from tallymark.operators.joins import checkpointed_lookup, same_keys
 
 
@@ -139,6 +139,60 @@ def outliers(df: DataFrame, keys: Sequence[str], value: str, z: float = 3.0) ->
     return rows.join(groups, same_keys("d", "g", keys)).filter(far).select("d.*")
 
 
+#: Half the width of the band around the middle rank that is looked at exactly, and the inverse error of the sketch.
+_BAND, _ACCURACY = 0.0005, 10_000
+
+
+def exact_medians(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Exact median of ``value`` per group, without sorting or collecting a group.
+
+    A quantile sketch, combined before the shuffle, gives two values of each group close below and above the middle. A
+    second pass counts what lies below the lower one and each distinct value between the two, and the ranks of that narrow
+    band give the median: the mean of the two middle values for an even number. NULL and NaN are left out; a group of
+    nothing else has no median. Where a sketch should miss its bound, the group is computed by the built-in percentile.
+    """
+    number = F.col(value).cast("double")
+    rows = df.select(*keys, number.alias("_v")).where(~F.isnan("_v") & F.col("_v").isNotNull())
+    ends = F.percentile_approx("_v", F.array(F.lit(0.5 - _BAND), F.lit(0.5 + _BAND)), F.lit(_ACCURACY))
+    groups = checkpointed_lookup(rows.groupBy(*keys).agg(F.count("*").alias("_n"), ends.alias("_ends"))).alias("g")
+    near = rows.alias("d").join(groups, same_keys("d", "g", keys)).where(F.col("_v") <= F.col("_ends")[1])
+    spot = F.when(F.col("_v") >= F.col("_ends")[0], F.col("_v"))  # NULL, which sorts first, for all below the band
+    counts = near.groupBy(*(F.col(f"d.{k}") for k in keys), spot.alias("_spot"), "_n").agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_spot")))
+    ranked = counts.withColumn("_upto", upto)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank), F.col("_spot")))
+
+    low, high = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    found = checkpointed_lookup(ranked.groupBy(*keys).agg((at(low) / 2 + at(high) / 2).alias(name)))
+    missed = groups.join(found.where(F.col(name).isNotNull()).alias("f"), same_keys("g", "f", keys), "left_anti")
+    missed = checkpointed_lookup(missed.select(*(F.col(f"g.{k}") for k in keys)))
+    if not missed.limit(1).count():
+        return found
+    again = rows.alias("d").join(missed.alias("m"), same_keys("d", "m", keys), "left_semi")
+    return found.where(F.col(name).isNotNull()).unionByName(again.groupBy(*keys).agg(F.percentile("_v", F.lit(0.5)).alias(name)))
+
+
+#: Fixed value: the median absolute deviation of a normal distribution in standard deviations.
+NORMAL_MAD = 0.6745
+
+
+def robust_outliers(df: DataFrame, keys: Sequence[str], value: str, cutoff: float = 3.5) -> DataFrame:
+    """Rows whose distance to the median of their group is more than ``cutoff`` times its median absolute deviation.
+
+    The deviation is scaled to that of a normal distribution. Unlike mean and standard deviation, both medians stay where
+    they are when a few values are huge, so one cannot hide another; both are exact (:func:`exact_medians`). Where more
+    than half of a group have one value, the deviation is 0 and every other value is an outlier.
+    """
+    medians = exact_medians(df, keys, value, "_median").alias("g")
+    far = F.abs(F.col(f"d.{value}").cast("double") - F.col("g._median"))
+    apart = df.alias("d").join(medians, same_keys("d", "g", keys)).select("d.*", far.alias("_far"))
+    deviations = exact_medians(apart, keys, "_far", "_mad").alias("m")
+    joined = apart.alias("d").join(deviations, same_keys("d", "m", keys))
+    return joined.where(F.lit(NORMAL_MAD) * F.col("_far") > F.lit(cutoff) * F.col("_mad")).select(*(f"d.{c}" for c in df.columns))
+
+
 def text_encoding(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Texts, texts with multi-byte characters and texts that are not valid UTF-8, per group."""
     text = F.col(column)
@@ -163,16 +217,18 @@ TEMPORARY_TABLE = r"create\s+temporary\s+table"
 TABLE_AFTER = r"(?i)(?<![A-Za-z0-9_])(?:from|join|into|table)\s+([A-Za-z_][A-Za-z0-9_.]*)"
 
 
-def script_metrics(df: DataFrame, text: str = "text") -> DataFrame:
+def script_metrics(df: DataFrame, text: str = "text", *, code_only: bool = False) -> DataFrame:
     """The columns of ``df`` other than ``text`` plus counts of what each script holds: lines, statements, tables.
 
-    One search finds all words that any measure counts, a second one the names of the tables.
+    One search finds all words that any measure counts, a second one the names of the tables. With ``code_only`` comments and
+    quoted texts are taken out first, so that a word in them is no statement; lines are counted of the whole script.
     """
-    script = F.col(text)
+    lines = F.col(text)
+    script = code_of(lines) if code_only else lines
     words = "|".join(word for group in SCRIPT_WORDS.values() for word in group)
     found = df.select(
         *(c for c in df.columns if c != text),
-        (F.length(script) - F.length(F.replace(script, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        (F.length(lines) - F.length(F.replace(lines, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         words_in(script, f"{TEMPORARY_TABLE}|{words}").alias("_words"),
         F.transform(F.regexp_extract_all(script, F.lit(TABLE_AFTER), F.lit(1)), F.lower).alias("_tables"),
     )

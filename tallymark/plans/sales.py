@@ -20,6 +20,7 @@ from tallymark.operators.quality import require_columns
 from tallymark.operators.reconcile import bag_diff
 from tallymark.plans.session import build_session
 from tallymark.sources.catalog import partition_spec
+from tallymark.sources.ledger import Ledger
 from tallymark.sources.readers import read_table
 from tallymark.sources.scope import held, temp_view
 from tallymark.sources.writers import append_by_name, fit_to_table, replace_partition, writing
@@ -291,3 +292,32 @@ class SalesDataProcessor:
         """Stop the session if this object started it."""
         if self._owns_session:
             self.spark.stop()
+
+
+def process_sales_data_published(
+    start_date: str,
+    end_date: str,
+    spark: SparkSession,
+    *,
+    ledger: Ledger,
+    run_id: str,
+    source: str = SOURCE,
+    summary: str = SUMMARY,
+    detail: str = DETAIL,
+    scale: int | None = None,
+    as_text: bool | None = None,
+    allow_narrowing: bool = False,
+) -> bool:
+    """Load summary and detail so that both become visible at once (:mod:`tallymark.sources.ledger`).
+
+    The detail is made of the staged summary: a run that is resumed with its ``run_id`` after a failure between the two
+    writes gives tables that agree, also where the source has changed meanwhile. A later run of the period replaces it.
+    """
+    about = {"job": "process_sales_data", "scope": f"{start_date}/{end_date}", "run_id": run_id}
+    totals = sales_totals(read_table(spark, source), start_date, end_date, scale=scale, as_text=as_text)
+    for target in (summary, detail):
+        fit_to_table(totals, target, allow_narrowing=allow_narrowing, given=["run_id"])
+    ledger.stage(totals, summary, **about, allow_narrowing=allow_narrowing)
+    ledger.stage(detail_rows(ledger.staged(summary, run_id)), detail, **about, allow_narrowing=allow_narrowing)
+    ledger.publish(**about)
+    return True

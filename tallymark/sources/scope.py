@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a cluster its absence is an error, because
+    Only a local session without that setting uses a folder in its warehouse; on a cluster its absence is an error, because
     a machine-local folder would be lost with the machine.
     """
     context = spark.sparkContext
@@ -22,7 +21,7 @@ def scratch_root(spark: SparkSession) -> str:
         if shared is None:
             if not (context.master or "").startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="tallymark-")
+            shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
         context.setCheckpointDir(shared)
     return context.getCheckpointDir()
 

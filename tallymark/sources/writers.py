@@ -20,6 +20,7 @@ from pyspark.sql.types import (
     LongType,
     NullType,
     ShortType,
+    StringType,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -104,17 +105,31 @@ def writing(spark: SparkSession, table: str) -> Iterator[None]:
 
 
 def append_by_name(df: DataFrame, table: str, *, allow_narrowing: bool = False) -> None:
-    """Append to an existing table, matching columns by name.
+    """Append to an existing table, matching columns by name. Into a delimited table no text with a line break goes: it raises.
 
     ``insertInto`` itself matches by position and narrows DOUBLE to FLOAT without a word. Here columns are put in
     the table's order first; missing, extra or narrowed columns raise :class:`UnsafeInsert`. For a partitioned table
     this is also the dynamic-partition insert: the partition value comes with each row.
     """
     rows = fit_to_table(df, table, allow_narrowing=allow_narrowing)
+    if _provider(df.sparkSession, table) == "csv":
+        rows = _single_lines(rows, table)
     with writing(df.sparkSession, table):
         rows.write.mode("append").insertInto(table)
 
 
+def _provider(spark: SparkSession, table: str) -> str | None:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
+    return about and about["data_type"].lower()
+
+
+def _single_lines(df: DataFrame, table: str) -> DataFrame:
+    """``df``, whose texts raise when they are written if they hold a line break: the table could not be read any more."""
+    broken = F.raise_error(F.lit(f"a text with a line break cannot be stored in the delimited table {table}"))
+    texts = {f.name: F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, StringType)}
+    return df.withColumns({n: F.when(~c.rlike("[\n\r]") | c.isNull(), c).otherwise(broken.cast("string")) for n, c in texts.items()})
+
+
 def append_or_create(df: DataFrame, table: str) -> None:
     """Append by name; the first call creates the table."""
     with writing(df.sparkSession, table):
