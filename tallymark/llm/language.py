@@ -66,11 +66,66 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def grams(texts: Sequence[str], sizes: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the n-grams of lower-case texts, the text of each, and which texts have a letter.
+PIECE = 1 << 19  # letters whose n-grams are looked at together
 
-    Whatever is no letter is one blank between words, and there is one at both ends.
+
+def _symbols(text: str, after_letter: bool) -> tuple[np.ndarray, bool, bool]:
+    """Lower-case letters of a text with one blank for whatever lies between words, whether it ends in a letter, and has one."""
+    points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    letter = _alphabetic()[points]
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    keep[:1] |= after_letter
+    return np.where(letter, points, 32)[keep].astype(np.uint64), bool(letter[-1]) if len(letter) else after_letter, bool(letter.any())
+
+
+def _hashes(symbols: np.ndarray, n: int) -> np.ndarray:
+    if len(symbols) < n:
+        return np.zeros(0, np.uint64)
+    h = np.full(len(symbols) - n + 1, n, np.uint64)
+    for i in range(n):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + symbols[i : len(symbols) - n + 1 + i]
+    return h
+
+
+def _of_long(text: str, sizes: Sequence[int], piece: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """Hashes of the n-grams of one text, a piece at a time; what a piece needs of the one before is carried over."""
+    carry, open_, widest, at = np.array([32], np.uint64), False, max(sizes), 0
+    while at < len(text):
+        cut = min(at + piece, len(text))
+        if cut < len(text):  # not inside a word, whose lower case may depend on its end, unless it is very long
+            cut = text.rfind(" ", at + 1, cut) + 1 or cut
+        symbols, open_, has_letter = _symbols(text[at:cut], open_)
+        stream = np.concatenate([carry, symbols, np.array([32], np.uint64) if cut == len(text) and open_ else symbols[:0]])
+        # those that end in what is new; the first piece begins with all
+        starts = {n: max(0, len(carry) - n + 1) if at else 0 for n in sizes}
+        yield np.concatenate([_mixed(_hashes(stream[starts[n] :], n)) for n in sizes]), has_letter
+        carry, at = stream[len(stream) - min(len(stream), widest - 1) :], cut
+
+
+def grams(
+    texts: Sequence[str], sizes: Sequence[int], piece: int = PIECE
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes of the n-grams of texts, the text of each, and which texts have a letter, about ``piece`` letters at a time.
+
+    Letters are lower-cased. Whatever is no letter is one blank between words, and there is one at both ends.
     """
+    start = 0
+    while start < len(texts):
+        stop, size = start, 0
+        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= piece):
+            size += len(texts[stop])
+            stop += 1
+        if size > piece:
+            for found, has_letter in _of_long(texts[start], sizes, piece):
+                yield found, np.full(len(found), start), np.array([start] if has_letter else [], np.int64)
+        else:
+            found, owner, has_letter = _of_short(texts[start:stop], sizes)
+            yield found, owner + start, np.flatnonzero(has_letter) + start
+        start = stop
+
+
+def _of_short(texts: Sequence[str], sizes: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     spaced = [f" {t.lower()} " for t in texts]
     points = np.frombuffer("".join(spaced).encode("utf-32-le"), np.uint32)
     lengths = np.array([len(t) for t in spaced], np.int64)
@@ -82,18 +137,12 @@ def grams(texts: Sequence[str], sizes: Sequence[int]) -> tuple[np.ndarray, np.nd
     has_letter = np.bincount(owner[letter], minlength=len(texts)) > 0
     symbols = np.where(letter, points, 32)[keep].astype(np.uint64)
     owner = owner[keep]
-    found, owners = [], []
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for n in sizes:
-        if len(symbols) < n:
-            continue
-        h = np.full(len(symbols) - n + 1, n, np.uint64)
-        for i in range(n):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + symbols[i : len(symbols) - n + 1 + i]
-        whole = owner[: len(h)] == owner[n - 1 :]
+        h = _hashes(symbols, n)
+        whole = owner[: len(h)] == owner[len(owner) - len(h) :]
         found.append(_mixed(h[whole]))
         owners.append(owner[: len(h)][whole])
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), has_letter
     return np.concatenate(found), np.concatenate(owners), has_letter
 
 
@@ -123,18 +172,21 @@ _BITS_OF = (np.arange(256)[:, None] >> np.arange(8)[None] & 1).astype(np.float64
 
 def identify(texts: Sequence[str], filters: Filters) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
-    hashes, owner, has_letter = grams(texts, filters.sizes)
-    n = np.bincount(owner, minlength=len(texts)).astype(np.float64)
-    masks = filters.bits[_slots(hashes, 0, len(filters.bits))]
-    for i in range(1, filters.hashes):
-        masks &= filters.bits[_slots(hashes, i, len(filters.bits))]
-    hits = np.concatenate(
-        [
-            np.bincount(owner * 256 + masks[:, w], minlength=len(texts) * 256).reshape(-1, 256) @ _BITS_OF
-            for w in range(masks.shape[1])
-        ],
-        axis=1,
-    )[:, : len(filters.languages)]
+    n, has_letter = np.zeros(len(texts)), np.zeros(len(texts), bool)
+    hits = np.zeros((len(texts), 8 * filters.bits.shape[1]))
+    for hashes, owner, lettered in grams(texts, filters.sizes):
+        has_letter[lettered] = True
+        first = int(owner.min(initial=len(texts)))
+        wide = max(int(owner.max(initial=-1)) + 1 - first, 0)
+        owner = owner - first
+        n[first : first + wide] += np.bincount(owner, minlength=wide)
+        masks = filters.bits[_slots(hashes, 0, len(filters.bits))]
+        for i in range(1, filters.hashes):
+            masks &= filters.bits[_slots(hashes, i, len(filters.bits))]
+        for w in range(masks.shape[1]):
+            counts = np.bincount(owner * 256 + masks[:, w], minlength=wide * 256).reshape(-1, 256)
+            hits[first : first + wide, 8 * w : 8 * w + 8] += counts @ _BITS_OF
+    hits = hits[:, : len(filters.languages)]
     if not filters.languages:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
     true = np.maximum(0, hits - n[:, None] * filters.false_hits) / (1 - np.minimum(filters.false_hits, 0.99))
@@ -148,7 +200,9 @@ def identify(texts: Sequence[str], filters: Filters) -> tuple[list[str], np.ndar
 def fit(docs: DataFrame, settings: Settings = Settings(), *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Filters:
     """Filters from the labelled rows of ``docs``; rows without a label or text teach nothing.
 
-    The sample of a language is chosen by a hash of ``key``. Languages are ordered by their number of rows, then by name.
+    The sample of a language is chosen by a hash of ``key`` and text, so that null or equal ids are no matter; equal rows
+    are drawn together, and count as often as they occur. Languages are ordered by their number of rows, then by name. An
+    empty table, or one without labels, gives filters that know no language.
     """
     rows = docs.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")
@@ -164,16 +218,17 @@ def fit(docs: DataFrame, settings: Settings = Settings(), *, key: str = "doc_id"
     share = F.create_map(
         *(F.lit(x) for r in sizes for x in (r.lang, min(1.0, settings.docs / r.n, settings.chars / max(r.chars, 1))))
     )
-    drawn = F.pmod(F.xxhash64("key", F.lit(settings.seed)), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
+    # in 2^53 steps, so that the share of any number of rows is not rounded to none
+    drawn = F.pmod(F.xxhash64("key", "text", F.lit(settings.seed)), F.lit(1 << 53)) < share[F.col("lang")] * float(1 << 53)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             names, number = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
-            hashes, owner, _ = grams(texts(batch, "text"), settings.sizes)
-            for i, name in enumerate(names.tolist()):
-                gram, n = np.unique(hashes[number[owner] == i], return_counts=True)
-                columns = [pa.array([name] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
+            for hashes, owner, _ in grams(texts(batch, "text"), settings.sizes):
+                for i in np.unique(number[owner]).tolist():
+                    gram, n = np.unique(hashes[number[owner] == i], return_counts=True)
+                    columns = [pa.array([str(names[i])] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
     counts = rows.where(drawn).select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     counts = checkpointed(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -202,7 +257,8 @@ def detect(
     """``docs`` with the language of ``text`` and its score from 0 to 1; columns of these names are replaced.
 
     A null text, or one without a letter, is ``und`` with score 0. A text that no filter knows gets the most frequent
-    language with score 0. Texts of any length are read whole.
+    language with score 0. Texts of any length are read whole, a piece at a time. Repeated rows come out alike, and an empty
+    table gives no rows.
     """
     own = {name.lower(), score.lower()}
     kept = [c for c in docs.columns if c.lower() not in own and (keep_text or c != text)]
