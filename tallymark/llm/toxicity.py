@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.frames import kept_in_worker, slices, texts
+from tallymark.operators.joins import checkpointed_lookup
 
 _WORDS = re.compile(r"\w+").findall
 _LONGEST = 80  # letters of a run that is one word
@@ -210,28 +211,31 @@ def _scorer(leans: np.ndarray, bias: float, settings: Settings) -> Scorer:
 
 
 def sample(docs: DataFrame, labels: DataFrame, settings: Settings, *, key: str, text: str, label: str) -> list[tuple[str, int]]:
-    """Labelled texts for training, about ``max_docs`` of them and ``max_chars`` letters at most, chosen by a hash of the id.
+    """Labelled texts for training, about ``max_docs`` of them and ``max_chars`` letters, chosen by a hash of id and text.
 
     Each of the two labels has a rate of its own: half of both bounds is its, and what the rarer one leaves goes to the
     other. So rare labels are taken whole up to that half. :func:`train` weighs both labels alike, whatever their shares.
-    Null labels and labels other than 0 and 1 are not learned from. Labels are joined by id; an id that is labelled twice
-    gives two samples.
+    Null labels, labels other than 0 and 1, and null ids are not learned from. Labels are joined by id; an id that has both
+    labels gives two samples, and the texts of a repeated id are drawn one by one. A text counts once for each id and label,
+    however often the row is repeated, so that the bounds hold.
     """
     known = labels.where(F.col(f"`{label}`").isin(0, 1) & F.col(f"`{key}`").isNotNull())
     known = known.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    sized = known.join(rows.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")), "id")
+    # in 2^53 steps, so that the share of any number of rows is not rounded to none
+    spot = F.pmod(F.xxhash64("id", "text", F.lit(settings.seed)), F.lit(1 << 53))
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("spot", spot)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")
+    sized = known.distinct().join(rows.select("id", "spot", size), "id").distinct()
     found = {r["label"]: r for r in sized.groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()}
     docs_of = _shared({y: r["n"] for y, r in found.items()}, settings.max_docs)
     size_of = _shared({y: r["size"] for y, r in found.items()}, settings.max_chars)
     shares = {y: min(1.0, docs_of[y] / r["n"], size_of[y] / max(r["size"], 1)) for y, r in found.items()}
-    # in 2^53 steps, so that the share of any number of rows is not rounded to none
-    spot = F.pmod(F.xxhash64("id", F.lit(settings.seed)), F.lit(1 << 53))
     chosen = F.lit(False)
     for y, share in shares.items():
-        chosen = chosen | ((F.col("label") == y) & (spot < int(share * (1 << 53))))
-    ids = F.broadcast(sized.where(chosen).select("id").distinct())  # about ``max_docs``, so that texts are not shuffled
-    drawn = rows.join(ids, "id").join(known.where(chosen).join(ids, "id"), "id").select("id", "text", "label").collect()
+        chosen = chosen | ((F.col("label") == y) & (F.col("spot") < int(share * (1 << 53))))
+    # about ``max_docs`` rows, measured before they are broadcast, so that texts are not shuffled
+    wanted = checkpointed_lookup(sized.where(chosen).select("id", "spot", "label"))
+    drawn = rows.join(wanted, ["id", "spot"]).groupBy("id", "spot", "label").agg(F.first("text").alias("text")).collect()
     return [(r.text, r.label) for r in sorted(drawn, key=lambda r: (r.id, r.label, r.text or ""))]
 
 
@@ -246,7 +250,8 @@ def score(
 ) -> DataFrame:
     """``docs`` with the score of ``text`` from 0 to 1; a column called ``name`` is replaced.
 
-    A null, empty or wordless text has the score of the bias alone. ``keep_text=False`` drops the text.
+    A null, empty or wordless text has the score of the bias alone. Texts of any length are read whole. Repeated rows come
+    out alike, and an empty table gives no rows. ``keep_text=False`` drops the text.
     """
     kept = [c for c in docs.columns if c.lower() != name.lower() and (keep_text or c != text)]
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(f"`{text}`").alias("text"))
