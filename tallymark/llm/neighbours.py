@@ -27,7 +27,7 @@ from tallymark.sources.scope import checkpointed
 
 @dataclass(frozen=True)
 class Settings:
-    """``shard_rows`` and ``query_rows`` bound what one task holds; ``slack`` is how far a degree may grow meanwhile."""
+    """``shard_rows`` bounds what one task holds, ``query_rows`` queries are worth a further copy of a shard; ``slack`` is how far a degree may grow meanwhile."""
 
     degree: int = 32
     slack: int = 16
@@ -38,7 +38,7 @@ class Settings:
     entries: int = 8
     batch: int = 256
     shard_rows: int = 8_192
-    query_rows: int = 8_192
+    query_rows: int = 1_024
     seed: int = 3
 
 
@@ -216,6 +216,39 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Iterator[pa.RecordBatch]]]:
+    """Of each task's rows, sorted by shard and then points before queries: the points, and the queries as they come."""
+    pieces = _pieces(batches)
+    piece = next(pieces, None)
+    while piece is not None:
+        task, points = piece[0], []
+        while piece is not None and piece[:2] == (task, False):
+            points.append(piece[2])
+            piece = next(pieces, None)
+
+        def asks() -> Iterator[pa.RecordBatch]:
+            nonlocal piece
+            while piece is not None and piece[0] == task:
+                yield piece[2]
+                piece = next(pieces, None)
+
+        if points:
+            yield pa.Table.from_batches(points).combine_chunks(), asks()
+        for _ in asks():  # what was not read
+            pass
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """Batches cut where the task or the kind of row changes."""
+    for batch in batches:
+        tasks = batch.column("task").to_numpy()
+        asks = batch.column("asks").to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((tasks[1:] != tasks[:-1]) | (asks[1:] != asks[:-1])) + 1
+        for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tasks)], strict=True):
+            if stop > start:
+                yield int(tasks[start]), bool(asks[start]), batch.slice(start, stop - start)
+
+
 def build(rows: DataFrame, settings: Settings = Settings(), *, key: str = "vec_id", vector: str = "embedding") -> Index:
     """The index of every sound vector, written to the shared folder.
 
@@ -260,18 +293,20 @@ def search(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` points of largest inner product found for each query, but not itself.
 
-    Queries are dealt to blocks of about ``query_rows``; a task holds one shard and one block. Fewer rows come out only
-    if there are fewer candidates of the same length. Ties go to the smaller ``vec_id``; queries that are not sound give
-    no row; a repeated query id, taken as one query, keeps any one of its vectors.
+    A task holds one shard, and the queries stream past it. Fewer rows come out only if there are fewer candidates of the
+    same length. Ties go to the smaller ``vec_id``; queries that are not sound give no row; a repeated query id, taken as one
+    query, asks with the smallest of its vectors.
     """
     asked = queries.select(
         F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v")
     )
     asked = asked.where(F.col("vec_id").isNotNull() & _sound("v"))
-    asked = checkpointed(asked.dropDuplicates(["vec_id"]))
-    blocks = max(1, -(-asked.count() // settings.query_rows))
+    asked = checkpointed(asked.groupBy("vec_id").agg(F.min("v").alias("v")))
     names = index.points.select("shard").distinct()
     shards = max(1, names.count())
+    # queries stream past a shard, so that points need not be copied; only few shards are, to keep all cores busy
+    wanted = -(-2 * queries.sparkSession.sparkContext.defaultParallelism // shards)
+    blocks = max(1, min(wanted, -(-asked.count() // settings.query_rows)))
     none = F.lit(None)
     points = index.points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     points = points.select(
@@ -299,29 +334,28 @@ def search(
     both = both.repartition(max(2, shards * blocks), "task").sortWithinPartitions("task", "asks", "place", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, "task"):
-            asks = group.column("asks").to_numpy()
-            n = int((~asks).sum())
-            if n == 0 or n == len(asks):
-                continue
-            vectors, ids = _matrix(group.column("v").chunk(0)), group.column("vec_id").to_numpy()
-            last, node, twin = (group.column(c).slice(0, n).to_numpy() for c in ("last", "node", "twin"))
-            edges = _matrix(group.column("edges").chunk(0).slice(0, n))
-            graph = Graph(vectors[:n], settings, edges)
-            for start in range(n, len(asks), settings.batch):
-                q, q_ids = vectors[start : start + settings.batch], ids[start : start + settings.batch]
-                wide = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
-                place, _ = graph.search(wide, max(settings.search_beam, k + 1))
-                score = np.einsum("md,mbd->mb", q, vectors[:n][np.maximum(place, 0)])
-                first = ids[:n][np.maximum(place, 0)]
-                alone = (first == q_ids[:, None]) & (last[np.maximum(place, 0)] == q_ids[:, None])
-                score = np.where((place < 0) | alone, -np.inf, score)
-                best = np.lexsort((first, -score))[:, : k + 1]
-                rows, columns = np.nonzero(np.isfinite(np.take_along_axis(score, best, 1)))
-                chosen = best[rows, columns]
-                at = place[rows, chosen]
-                arrays = [q_ids[rows], node[at], twin[at], first[rows, chosen], score[rows, chosen]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["query_id", "node", "twin", "first", "score"])
+        for points, asks in _shards(batches):
+            n = len(points)
+            vectors, first = _matrix(points.column("v").chunk(0)), points.column("vec_id").to_numpy()
+            last, node, twin = (points.column(c).to_numpy() for c in ("last", "node", "twin"))
+            graph = Graph(vectors, settings, _matrix(points.column("edges").chunk(0)))
+            for batch in asks:
+                for start in range(0, len(batch), settings.batch):
+                    part = batch.slice(start, settings.batch)
+                    q, q_ids = _matrix(part.column("v")), part.column("vec_id").to_numpy()
+                    wide = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
+                    place, _ = graph.search(wide, max(settings.search_beam, k + 1))
+                    near = np.clip(place, 0, n - 1)
+                    score = np.einsum("md,mbd->mb", q, vectors[near])
+                    alone = (first[near] == q_ids[:, None]) & (last[near] == q_ids[:, None])
+                    score = np.where((place < 0) | alone, -np.inf, score)
+                    best = np.lexsort((first[near], -score))[:, : k + 1]
+                    rows, columns = np.nonzero(np.isfinite(np.take_along_axis(score, best, 1)))
+                    chosen = best[rows, columns]
+                    at = place[rows, chosen]
+                    arrays = [q_ids[rows], node[at], twin[at], first[at], score[rows, chosen]]
+                    names = ["query_id", "node", "twin", "first", "score"]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
 
     found = both.mapInArrow(run, "query_id long, node long, twin long, first long, score double")
     # k + 1 vectors, by their smallest ids where they tie, hold k ids besides the query's own; so do k + 1 ids of each
