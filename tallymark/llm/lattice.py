@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tallymark.llm.graph import components
 from tallymark.operators.joins import checkpointed_lookup
@@ -185,18 +186,23 @@ def link(
         F.lit(False),
     )
     plain = plain.withColumn("v", F.when(sound, F.col("v")))
-    # one node for each distinct vector of a label, named by a hash of it
-    named = plain.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("label", F.size("v"), "v")))
-    nodes = checkpointed(
-        named.where("node is not null")
-        .groupBy("node")
+    # one node for each distinct vector of a label, told by two hashes and then numbered
+    twins = {name: F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(i), "label", F.size("v"), "v")) for i, name in enumerate(("h0", "h1"))}
+    named = plain.withColumns(twins)
+    nodes = (
+        named.where("h0 is not null")
+        .groupBy("h0", "h1")
         .agg(F.first("v").alias("v"), F.first("label").alias("label"), F.min("vec_id").alias("first"), F.count("*").alias("n"))
     )
+    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
+    # vectors given in single precision travel in it, which loses nothing
+    kind = rows.schema[vector].dataType
+    carried = "float" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "double"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array([len(v) for v in batch.column("v").to_pylist()])
-            flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+            flat = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             ends = np.cumsum(sizes)
             found = np.empty((len(sizes), settings.tables * (1 + settings.guests)), np.int64)
             for size in np.unique(sizes).tolist():
@@ -209,8 +215,8 @@ def link(
                                              ["node", "n", "label", "v", "cells"])
 
     placed = checkpointed(
-        nodes.select("node", "n", "label", "v").mapInArrow(
-            place, "node long, n long, label string, v array<double>, cells array<long>"
+        nodes.select("node", "n", "label", F.col("v").cast(f"array<{carried}>").alias("v")).mapInArrow(
+            place, f"node long, n long, label string, v array<{carried}>, cells array<long>"
         )
     )
     each = 1 + settings.guests
@@ -246,7 +252,7 @@ def link(
     found = checkpointed(blocks.mapInArrow(compare, "a long, b long, links long"))
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     member_of = components(found.where("b is not null").select("a", "b"))
-    first = nodes.select(F.col("node").alias("id"), "first", "n")
+    first = nodes.select(F.col("node").alias("id"), "first", "n", "h0", "h1")
     linked = member_of.join(first, "id")
     smallest = linked.groupBy("component").agg(F.min("first").alias("smallest"))
     smallest = linked.join(smallest, "component").select("id", "smallest")
@@ -254,14 +260,15 @@ def link(
         first.join(smallest, "id", "left")
         .join(links.withColumnRenamed("a", "id"), "id", "left")
         .select(
-            F.col("id").alias("node"),
+            "h0",
+            "h1",
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
             F.coalesce("smallest", "first").alias("component_id"),
         )
     )
     return (
-        named.select("vec_id", "node")
-        .join(checkpointed_lookup(of_node), "node", "left")  # so that a vector of very many copies can be split
+        named.select("vec_id", "h0", "h1")
+        .join(checkpointed_lookup(of_node), ["h0", "h1"], "left")  # so that a vector of very many copies can be split
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -295,7 +302,7 @@ def _links(block: pa.Table, settings: Settings, least: float) -> tuple[list[int]
     if block.num_rows < 2:
         return [], [], []
     node, n = block.column("node").to_numpy(), block.column("n").to_numpy()
-    vectors = block.column("v").chunk(0).flatten().to_numpy(zero_copy_only=False).reshape(block.num_rows, -1)
+    vectors = block.column("v").chunk(0).flatten().to_numpy(zero_copy_only=False).reshape(block.num_rows, -1).astype(np.float64)
     own = block.column("cells").chunk(0).flatten().to_numpy().reshape(block.num_rows, settings.tables, -1)
     part, low = block.column("part").to_numpy(), int(block.column("low")[0].as_py())
     at = (int(block.column("tab")[0].as_py()), int(block.column("cell")[0].as_py()))
