@@ -3,6 +3,10 @@
 Toxic documents go, of near-duplicates one document stays, personal data is replaced, the sources are interleaved to their
 target weights, and the rest is packed into sequences. Each stage works on all that the one before it kept. All but the
 last return the columns of ``documents``.
+
+Every stage takes null ids, null and empty texts, very long texts, repeated rows, an empty table, and further columns of any
+name, which it passes on. A null text is empty to all of them and stays null; repeated rows are near-duplicates of one
+another, so that one of them stays; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -24,7 +28,11 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below ``TOXIC_FROM``; the model learns from labelled documents that are not held out."""
+    """Documents that score below ``TOXIC_FROM``; the model learns from labelled documents that are not held out.
+
+    Without labels, or with one label only, the score is the same everywhere: one half, or next to that label. Null and empty
+    texts score as the bias does and stay.
+    """
     importable(spark)
     settings = toxicity.Settings()
     leans, bias = toxicity_model(docs, table(spark, sf_dir, "labels"), settings)
@@ -33,13 +41,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked SimHash fingerprints: the one with the smallest id."""
+    """One document of each group of linked SimHash fingerprints: the one with the smallest id.
+
+    All null, empty and wordless texts are one group. Null ids come last; ties go by the text, then by the other columns.
+    """
     importable(spark)
     return simhash.keep_one(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kind in angle brackets in place of every span of personal data; ``n_chars`` counts the new text."""
+    """The kind in angle brackets in place of every span of personal data; ``n_chars``, if there, counts the new text."""
     importable(spark)
     found = pii.detect(docs, pii.fit(docs), redact=True)
     counted = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
@@ -47,7 +58,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the order of the mix: files one after another, and rows within them."""
+    """The documents in the order of the mix: files one after another, and rows within them. Null sources are one source."""
     return _in_mix_order(docs)
 
 
@@ -62,7 +73,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """One row per piece of a document, with its ids and its place in a sequence of at most 4,096 tokens.
 
     Sequences follow the mix. Since a scan deals files and parts of them to tasks by their sizes, the order of the mix is
-    made anew.
+    made anew. A null or empty text is one token, its end.
     """
     importable(spark)
     return packing.pack(_in_mix_order(docs).select("doc_id", "source", "text"), vocabulary("word_bpe_49k.json")).select(
@@ -80,11 +91,23 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. What each returns is written to the shared folder and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. What each returns is written to the shared folder and read again by the next.
+
+    A stage's folder is removed once the next one is written, or failed; that of the last stays, since it is the result.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     folder = f"{scratch_root(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
         out = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        try:
+            stage(spark, docs, sf_dir).write.parquet(out)
+        finally:
+            if before is not None:
+                _remove(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
