@@ -471,3 +471,75 @@ def test_pipeline(spark):
     whole = corpus_pipeline.run(spark, SF_DIR)
     assert {r.doc_id for r in whole.collect()} == {p.doc_id for p in pieces}
     assert sum(r.length for r in whole.collect()) == sum(p.length for p in pieces)
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, row string, simhash string, id int, piece int, m map<string,int>"
+
+
+def odd_documents(spark):
+    texts = [None, "", "  ", "one two three four", "one two three four", "word " * 30_000, "mail a.b@example.org now", "é" * 300, "five six seven"]
+    rows = [(None if i % 3 == 0 else i, t, None, None if i % 4 == 0 else "src0", None, "r", "s", i, 1, {"a": i}) for i, t in enumerate(texts)]
+    return spark.createDataFrame([*rows, rows[3], rows[8]], CLASHING)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_empty_tables(spark, name):
+    stage, docs = dict(corpus_pipeline.STAGES)[name], odd_documents(spark)
+    rows, none = stage(spark, docs, SF_DIR).collect(), stage(spark, docs.limit(0), SF_DIR)
+    assert none.count() == 0
+    if name == "pack_sequences":
+        long = [r for r in rows if r.doc_id == 5]
+        assert sum(r.length for r in long) == long[0].doc_tokens > 4096
+        assert sum(r.doc_tokens == 1 for r in rows) == 3  # null, empty and blank
+        return
+    assert none.schema == docs.schema or none.columns == docs.columns
+    assert all(r.row == "r" and r.m is not None and r.piece == 1 for r in rows)
+    texts = Counter(r.text for r in rows)
+    if name == "simhash_near_duplicates":
+        # null, empty and blank are one group, of repeated rows one stays
+        assert len(rows) == 6 and max(texts.values()) == 1 and sum(not (t or "").strip() for t in texts) == 1
+    else:
+        assert len(rows) == 11 and texts[None] == 1 and texts[""] == 1 and texts["word " * 30_000] == 1
+    if name == "personal_data":
+        assert texts["mail <EMAIL> now"] == 1
+
+
+def test_folders_of_stages_are_removed(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "a b c", "en", "src0", 5)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    monkeypatch.setattr(corpus_pipeline, "scratch_root", lambda spark: str(tmp_path / "scratch"))
+    keep = ("first", lambda spark, docs, sf_dir: docs)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [keep, ("second", keep[1]), ("third", keep[1])])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1
+    assert [f.name for f in (tmp_path / "scratch").glob("*/*")] == ["2-third"]
+
+    def fails(spark, docs, sf_dir):
+        raise OSError("lost")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [keep, ("second", fails)])
+    with pytest.raises(OSError):
+        corpus_pipeline.run(spark, str(tmp_path))
+    assert [f.name for f in (tmp_path / "scratch").glob("*/*")] == ["2-third"]
+
+
+def test_a_repeated_query_asks_with_its_smallest_vector(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)]
+    points = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = neighbours.build(points)
+    asked = spark.createDataFrame([(7, rows[9][1]), (7, rows[4][1])], points.schema)
+    found = [r.vec_id for r in neighbours.search(index, asked, 1).collect()]
+    smallest = min(rows[9][1], rows[4][1])
+    want = max((i for i, _ in rows if i != 7), key=lambda i: np.dot(rows[i][1], smallest))
+    assert found == [want]
+
+
+def test_points_of_many_shards_are_not_copied_for_each_block_of_queries(spark):
+    rng = np.random.default_rng(5)
+    points = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(2000)], "vec_id long, embedding array<double>")
+    settings = neighbours.Settings(shard_rows=20, query_rows=10)
+    index = neighbours.build(points, settings)
+    assert index.points.select("shard").distinct().count() > 2 * spark.sparkContext.defaultParallelism
+    found = neighbours.search(index, points.where("vec_id % 20 = 0"), 3, settings)
+    assert found.count() == 300
