@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +28,7 @@ from tallymark.operators.joins import checkpointed_lookup
 
 _WORDS = re.compile(r"\w+").findall
 _LONGEST = 80  # letters of a run that is one word
+_AT_ONCE = 20_000  # words looked up at once, which bounds the subwords held
 _PIECE, _OVERLAP = 20, 10  # letters of the words that a longer run is cut to, and how many two of them share
 
 
@@ -73,6 +74,47 @@ def subwords(word: str, settings: Settings) -> list[int]:
     return [zlib.crc32(g.encode()) % settings.buckets for g in sorted(grams)]
 
 
+def _crc_steps() -> np.ndarray:
+    """What a byte adds to a CRC-32."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> 1) ^ np.where(table & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+_CRC = _crc_steps()
+
+
+def bags(words: Sequence[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`subwords` of many words at once: how many each has, and all of them, word by word.
+
+    The n-grams that begin at a letter grow by one letter a step, and their hashes with them. Equal ones of a word are told
+    by their 32-bit hash and count once.
+    """
+    marked = [f"<{w}>" for w in words]
+    joined = "".join(marked)
+    raw, codes = np.frombuffer(joined.encode(), np.uint8), np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    width = np.ones(len(codes), np.int64) + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)  # bytes in UTF-8
+    first = np.cumsum(width) - width
+    sizes = np.array([len(w) for w in marked], np.int64)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    end = np.repeat(np.cumsum(sizes), sizes)
+    begin, crc = np.arange(len(codes)), np.full(len(codes), 0xFFFFFFFF, np.uint32)
+    found = [np.arange(len(words)) << 32 | np.array([zlib.crc32(w.encode()) for w in marked], np.int64)]
+    for n in range(1, settings.longest + 1):
+        fits = begin + n <= end[begin]
+        begin, crc = begin[fits], crc[fits]
+        letter = begin + n - 1
+        for k in range(int(width[letter].max(initial=0))):
+            more = width[letter] > k
+            crc[more] = _CRC[(crc[more] ^ raw[first[letter[more]] + k]) & 0xFF] ^ (crc[more] >> 8)
+        if n >= settings.shortest:
+            found.append(owner[begin] << 32 | (crc ^ 0xFFFFFFFF).astype(np.int64))
+    keys = np.sort(np.concatenate(found))
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    return np.bincount(keys >> 32, minlength=len(words)), (keys & 0xFFFFFFFF) % settings.buckets
+
+
 class Vocabulary:
     """The words of the training texts, each with its subwords as rows of a ragged array."""
 
@@ -182,26 +224,42 @@ class Scorer:
         self._max_words = max_words
 
     def _learn(self, words: list[str]) -> None:
-        grams = [subwords(w, self._settings) for w in words]
-        sizes = np.array([len(g) for g in grams])
-        total = np.add.reduceat(self._leans[[x for g in grams for x in g]], np.cumsum(sizes) - sizes)
+        sizes, grams = bags(words, self._settings)
+        total = np.add.reduceat(self._leans[grams], np.cumsum(sizes) - sizes)
         self._known.update(zip(words, (total / sizes).tolist(), strict=True))
 
     def __call__(self, text: str) -> float:
-        words, known = words_of(text), self._known
-        try:
-            leans = list(map(known.__getitem__, words))
-        except KeyError:
-            leans = []
-            for start in range(0, len(words), 50_000):  # bounds the subwords held at once
-                part = words[start : start + 50_000]
-                if len(known) > self._max_words:
-                    known.clear()
-                if new := [w for w in dict.fromkeys(part) if w not in known]:
-                    self._learn(new)
-                leans.extend(map(known.__getitem__, part))
-        worst = window_means(np.array(leans), self._settings.window).max() if leans else 0.0
-        return float(1 / (1 + np.exp(-np.clip(worst + self._bias, -50, 50))))
+        return next(self.scores([text]))
+
+    def scores(self, texts: Iterable[str]) -> Iterator[float]:
+        """The score of each text; new words are learned for some texts at a time, whatever their lengths."""
+        waiting, n = [], 0
+        for text in texts:
+            waiting.append(words_of(text))
+            n += len(waiting[-1])
+            if n >= _AT_ONCE:
+                yield from self._scores(waiting)
+                waiting, n = [], 0
+        yield from self._scores(waiting)
+
+    def _scores(self, docs: list[list[str]]) -> Iterator[float]:
+        leans = self._leans_of(docs[0] if len(docs) == 1 else [w for words in docs for w in words])
+        end = 0
+        for words in docs:
+            start, end = end, end + len(words)
+            worst = window_means(leans[start:end], self._settings.window).max()
+            yield float(1 / (1 + np.exp(-np.clip(worst + self._bias, -50, 50))))
+
+    def _leans_of(self, words: list[str]) -> np.ndarray:
+        known, leans = self._known, np.empty(len(words))
+        for start in range(0, len(words), _AT_ONCE):
+            part = words[start : start + _AT_ONCE]
+            if len(known) > self._max_words:
+                known.clear()
+            if new := [w for w in dict.fromkeys(part) if w not in known]:
+                self._learn(new)
+            leans[start : start + len(part)] = list(map(known.__getitem__, part))
+        return leans
 
 
 def _scorer(leans: np.ndarray, bias: float, settings: Settings) -> Scorer:
@@ -260,7 +318,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model.value, bias, settings)
         for batch in slices(batches, "text"):
-            scores = pa.array([scorer(t) for t in texts(batch, "text")], pa.float64())
+            scores = pa.array(scorer.scores(texts(batch, "text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("row"), scores], ["row", "score"])
 
     out = rows.mapInArrow(run, rows.select("row", F.lit(0.0).alias("score")).schema)

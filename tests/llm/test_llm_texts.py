@@ -12,6 +12,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallymark.llm import html_text, language, pii, queries, token_counts, toxicity
@@ -327,6 +329,15 @@ def test_toxic_words_count_in_long_texts_and_misspelled():
     assert 0 <= scorer("") <= 1
 
 
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=90), min_size=1, max_size=8), st.integers(1, 4))
+def test_subwords_of_many_words_are_those_of_each(words, shortest):
+    settings = toxicity.Settings(shortest=shortest, longest=shortest + 3, buckets=1 << 24)
+    words += ["", "a", "aaaaaaaa", "ünïcödé", "漢字かな", "𝒳𝒴𝒵𝒳𝒴𝒵𝒳"]
+    sizes, grams = toxicity.bags(words, settings)
+    parts = np.split(grams, np.cumsum(sizes)[:-1])
+    assert [sorted(p.tolist()) for p in parts] == [sorted(toxicity.subwords(w, settings)) for w in words]
+
+
 def test_rare_labels_are_drawn_and_learned(spark):
     """Toxic rows are 1 in 5,000, and the sample is a small part of all rows."""
     settings = toxicity.Settings(max_docs=1_000, buckets=1 << 14)
