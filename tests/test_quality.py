@@ -4,7 +4,7 @@ import random
 import statistics
 
 import pytest
-from conftest import rows
+from conftest import physical_plan, rows
 from pyspark.sql import functions as F
 
 from tallymark.operators import quality
@@ -36,6 +36,20 @@ def test_table_profile(spark):
     assert rows(quality.table_profile(df)) == [("n", 3, 1, 2, "1", "3", 2.0), ("s", 3, 0, 2, "a", "b", None)]
 
 
+def test_exact_table_profile_counts_each_column_by_itself(spark):
+    values = [(1, "b", 0.0), (3, "a", -0.0), (None, "a", float("nan")), (3, None, float("nan")), (1, "b", None)]
+    df = spark.createDataFrame(values, "n int, s string, v double")
+    found = quality.table_profile(df, exact=True)
+    assert {r.column_name: (r.n_rows, r.n_nulls, r.n_distinct) for r in found.collect()} == {
+        "n": (5, 1, 2), "s": (5, 1, 2), "v": (5, 1, 2)
+    }
+    none = quality.table_profile(df.limit(0), exact=True)
+    assert rows(none) == [(c, 0, 0, 0, None, None, None) for c in ("n", "s", "v")]
+    # one pass for all columns would hold and sort a row per value, all columns wide
+    plan = physical_plan(found)
+    assert "gid" not in plan and "Sort [" not in plan
+
+
 def test_duplicates(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1)], "k string, n int")
     assert rows(quality.duplicates(df, ["k", "n"], name="copies")) == sorted([("a", 1, 2), (None, 1, 2)], key=repr)
